@@ -1,0 +1,50 @@
+"""Row-by-row comparison of every registered query with its SQL."""
+
+from __future__ import annotations
+
+import glob
+import math
+import os
+
+import duckdb
+from pyspark.sql import DataFrame
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    return connection
+
+
+def _sort_key(row: tuple) -> tuple:
+    return tuple((value is not None, value) for value in row)
+
+
+def _rows(columns: list[str], rows: list[tuple]) -> list[tuple]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted((tuple(row[i] for i in order) for row in rows), key=_sort_key)
+
+
+def _same(left: object, right: object) -> bool:
+    if isinstance(left, float) and isinstance(right, float):
+        return math.isclose(left, right, rel_tol=1e-12, abs_tol=1e-12)
+    return left == right and type(left) is type(right)
+
+
+def differences(frame: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
+    """What differs between a Spark result and a SQL result; empty if nothing."""
+    expected = connection.execute(sql)
+    expected_columns = [column[0] for column in expected.description]
+    if sorted(frame.columns) != sorted(expected_columns):
+        return [f"columns {sorted(frame.columns)} != {sorted(expected_columns)}"]
+    got = _rows(frame.columns, [tuple(row) for row in frame.collect()])
+    want = _rows(expected_columns, expected.fetchall())
+    if len(got) != len(want):
+        return [f"{len(got)} rows != {len(want)} rows"]
+    return [
+        f"{left} != {right}"
+        for left, right in zip(got, want)
+        if not all(_same(a, b) for a, b in zip(left, right))
+    ]
