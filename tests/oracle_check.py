@@ -29,7 +29,7 @@ def _rows(columns: list[str], rows: list[tuple]) -> list[tuple]:
 
 def _same(left: object, right: object) -> bool:
     if isinstance(left, float) and isinstance(right, float):
-        return math.isclose(left, right, rel_tol=1e-12, abs_tol=1e-12)
+        return left == right or (math.isnan(left) and math.isnan(right))
     return left == right and type(left) is type(right)
 
 

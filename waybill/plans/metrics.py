@@ -12,26 +12,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from waybill.functions.rounding import as_hundredths
-
-# Derived measures hold two decimals by construction; they are summed as whole
-# hundredths, which makes their means independent of the order of summation.
-_WHOLE_HUNDREDTHS = frozenset({"trip_duration_min", "avg_speed_mph"})
+from waybill.functions.rounding import round_aggregate
 
 ROWS = "trip_rows"
 
 
-def summand(measure: str) -> Column:
-    """What is added up for a measure of a trip."""
-    column = F.col(measure)
-    return as_hundredths(column) if measure in _WHOLE_HUNDREDTHS else column
-
-
 def partial_totals(measures: tuple[str, ...]) -> list[Column]:
     """The row count, and a sum and a non-NULL count for every measure."""
     totals = [F.count("*").alias(ROWS)]
     for measure in measures:
-        totals.append(F.sum(summand(measure)).alias(f"{measure}_sum"))
+        totals.append(F.sum(measure).alias(f"{measure}_sum"))
         totals.append(F.count(measure).alias(f"{measure}_n"))
     return totals
 
@@ -54,14 +44,14 @@ class Total:
     per: int = 1
 
     def over_trips(self) -> Column:
-        return self._rounded(F.sum(self.measure))
+        return self._shown(F.sum(self.measure))
 
     def over_totals(self) -> Column:
-        return self._rounded(F.sum(f"{self.measure}_sum"))
+        return self._shown(F.sum(f"{self.measure}_sum"))
 
-    def _rounded(self, total: Column) -> Column:
+    def _shown(self, total: Column) -> Column:
         scaled = total if self.per == 1 else total / self.per
-        return F.round(scaled, 2).alias(self.name)
+        return round_aggregate(scaled).alias(self.name)
 
 
 @dataclass(frozen=True)
@@ -70,13 +60,8 @@ class Mean:
     measure: str
 
     def over_trips(self) -> Column:
-        return self._rounded(F.avg(summand(self.measure)))
+        return round_aggregate(F.avg(self.measure)).alias(self.name)
 
     def over_totals(self) -> Column:
         total, present = F.sum(f"{self.measure}_sum"), F.sum(f"{self.measure}_n")
-        return self._rounded(F.try_divide(total, present))
-
-    def _rounded(self, mean: Column) -> Column:
-        if self.measure in _WHOLE_HUNDREDTHS:
-            return (F.round(mean, 0) / 100).alias(self.name)
-        return F.round(mean, 2).alias(self.name)
+        return round_aggregate(F.try_divide(total, present)).alias(self.name)
