@@ -171,16 +171,17 @@ LEFT JOIN zones z ON t."DOLocationID" = z."LocationID" """,
   FROM (SELECT *, round((epoch_us(dropoff_datetime) // 1000000
                          - epoch_us(pickup_datetime) // 1000000) / 60, 2) AS minutes FROM trips)
 )
-SELECT valid, service_type, payment_type, "RatecodeID", year, recent, "PULocationID",
+SELECT service_type, valid, payment_type, "RatecodeID", year, recent, "PULocationID",
   "DOLocationID", hour, weekday,
-  CASE WHEN grouping(service_type) = 0 THEN 'service'
+  CASE WHEN grouping(payment_type) = 0 THEN 'codes'
        WHEN grouping("PULocationID") = 0 THEN 'pickup'
        WHEN grouping("DOLocationID") = 0 THEN 'dropoff' ELSE 'clock' END AS slice,
   count(*) AS trip_rows, round(sum(total_amount), 2) AS total_amount,
   round(sum(trip_distance), 2) AS trip_distance
 FROM keyed GROUP BY GROUPING SETS (
-  (valid, service_type, payment_type, "RatecodeID", year, recent),
-  (valid, "PULocationID"), (valid, "DOLocationID"), (valid, hour, weekday))""",
+  (service_type, valid, payment_type, "RatecodeID", year, recent),
+  (service_type, valid, "PULocationID"), (service_type, valid, "DOLocationID"),
+  (service_type, valid, hour, weekday))""",
 }
 
 

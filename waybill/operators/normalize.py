@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,17 +23,21 @@ def union_trips(first: DataFrame, second: DataFrame) -> DataFrame:
     return first.select(columns).unionByName(second.select(columns))
 
 
-def union_common_columns(services: dict[str, DataFrame]) -> DataFrame:
+def union_common_columns(services: Mapping[str, DataFrame]) -> DataFrame:
     """Bag union of raw relations over the columns that all of them have."""
-    frames = list(services.values())
-    common = [c for c in frames[0].columns if all(c in f.columns for f in frames)]
-    union = None
-    for service, frame in services.items():
-        tagged = frame.select(*common, F.lit(service).alias(SERVICE))
-        union = tagged if union is None else union.unionByName(tagged)
-    return union
-
-
-def canonical_trips(green: DataFrame, yellow: DataFrame) -> DataFrame:
-    """Both raw services as one canonical relation, before any cleaning."""
-    return union_trips(normalize(green, "green"), normalize(yellow, "yellow"))
+    first = next(iter(services.values())).columns
+    common = [c for c in first if all(c in raw.columns for raw in services.values())]
+    tagged = [
+        raw.select(*common, F.lit(service).alias(SERVICE)) for service, raw in services.items()
+    ]
+    return reduce(DataFrame.unionByName, tagged)
+
+
+def normalize_all(services: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Canonical trips of every service, not yet united."""
+    return {service: normalize(raw, service) for service, raw in services.items()}
+
+
+def canonical_trips(services: Mapping[str, DataFrame]) -> DataFrame:
+    """All raw services as one canonical relation, before any cleaning."""
+    return reduce(union_trips, normalize_all(services).values())

@@ -5,13 +5,14 @@ from __future__ import annotations
 import argparse
 import logging
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.operators.normalize import canonical_trips
+from waybill.operators.normalize import normalize_all, union_trips
 from waybill.operators.quality import clean_trips
 from waybill.plans.reports import REPORTS, build, register_trips
-from waybill.plans.summary import report_from_summary, source_counts, summarize
+from waybill.plans.summary import SLICE, report_from_summary, source_counts, summarize
 from waybill.rules import DEFAULT_RULES, Rules
 from waybill.sinks.parquet import write_report
 from waybill.sources.parquet import read_trips, read_zones
@@ -21,16 +22,16 @@ log = logging.getLogger(__name__)
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
-def stage(spark: SparkSession, frame: DataFrame, fallback: str, label: str) -> DataFrame:
-    """Write a frame to shared storage and return it as read back.
+def stage(spark: SparkSession, summary: DataFrame, output: str) -> DataFrame:
+    """Write the summary to shared storage and return it as read back.
 
-    The copy outlives any executor, so no later action repeats the work behind
-    it. It goes to the checkpoint folder of the cluster, or below ``fallback``
-    where none is set.
+    The copy outlives any executor, so no report repeats the scan behind it,
+    and each report reads the files of its own slice only. It goes to the
+    checkpoint folder of the cluster or, where none is set, below ``output``.
     """
-    folder = spark.conf.get(CHECKPOINT_SETTING, None) or fallback
-    path = f"{folder.rstrip('/')}/_{label}-{uuid.uuid4().hex}"
-    frame.write.partitionBy("slice").parquet(path)
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or output
+    path = f"{folder.rstrip('/')}/_trip_summary-{uuid.uuid4().hex}"
+    summary.write.partitionBy(SLICE).parquet(path)
     return spark.read.parquet(path)
 
 
@@ -49,14 +50,16 @@ def run(
     the columns it needs, which pays off only for a narrow set of reports.
     """
     zones = read_zones(spark, input_zones)
-    trips = canonical_trips(read_trips(spark, input_green), read_trips(spark, input_yellow))
-    clean = clean_trips(trips, rules)
+    services = normalize_all(
+        {"green": read_trips(spark, input_green), "yellow": read_trips(spark, input_yellow)}
+    )
+    clean = clean_trips(reduce(union_trips, services.values()), rules)
     register_trips(clean)
 
     if shared_scan:
-        summary = stage(spark, summarize(trips, rules), output, "trip_summary")
-        for relation, rows in source_counts(summary).items():
-            log.info("%s trips: %d rows", relation, rows)
+        summary = stage(spark, summarize(services, rules), output)
+        for service, rows in source_counts(summary).collect():
+            log.info("%s trips: %d rows", service, rows)
 
     written = {}
     for report in REPORTS:

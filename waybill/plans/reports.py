@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.functions import calendar
-from waybill.operators.quality import clean_trips, valid_trips
+from waybill.operators.attributes import with_keys
+from waybill.operators.quality import valid_trips
 from waybill.operators.zones import with_zone
 from waybill.plans.metrics import Mean, Rows, Total
 from waybill.rules import DEFAULT_RULES, Rules
@@ -183,23 +184,11 @@ def trips_per_service(spark: SparkSession, rules: Rules = DEFAULT_RULES) -> Data
     )
 
 
-def group_columns(report: Report, rules: Rules) -> list[Column]:
-    """Grouping keys as expressions over trips.
+def finish(report: Report, groups: DataFrame, zones: DataFrame | None) -> DataFrame:
+    """Name days, look up zones, then sort; ties follow the grouping keys.
 
-    Days are grouped by number and named afterwards, row by row only over the
-    groups.
+    Days are grouped by number and named here, over the groups only.
     """
-    derived = {
-        "year": F.year("pickup_datetime"),
-        "hour": F.hour("pickup_datetime"),
-        "weekday": F.weekday(F.col("pickup_datetime")),
-        "era": calendar.era(F.year("pickup_datetime"), rules),
-    }
-    return [derived.get(key, F.col(key)).alias(key) for key in report.by]
-
-
-def finish(report: Report, groups: DataFrame, zones: DataFrame | None) -> DataFrame:
-    """Name days, look up zones, then sort; ties follow the grouping keys."""
     keys = ["day_of_week" if key == "weekday" else key for key in report.by]
     if "weekday" in report.by:
         groups = groups.withColumn("day_of_week", calendar.day_name(F.col("weekday")))
@@ -223,17 +212,9 @@ def build(
         register_trips(clean)
         return trips_per_service(clean.sparkSession, rules)
     trips = valid_trips(clean, rules) if report.scope == VALID else clean
-    groups = trips.groupBy(*group_columns(report, rules)).agg(
-        *(metric.over_trips() for metric in report.metrics)
+    groups = (
+        with_keys(trips, report.by, rules)
+        .groupBy(*report.by)
+        .agg(*(metric.over_trips() for metric in report.metrics))
     )
     return finish(report, groups, zones)
-
-
-def build_from_sources(
-    report: Report,
-    trips: DataFrame,
-    zones: DataFrame | None = None,
-    rules: Rules = DEFAULT_RULES,
-) -> DataFrame:
-    """Compute a report from canonical trips that have not been cleaned."""
-    return build(report, clean_trips(trips, rules), zones, rules)

@@ -2,31 +2,36 @@
 
 The reports group the same trips by a few short keys. Computing them one by
 one reads the sources ten times; caching the trips would need room for the
-whole input. Instead a single ``GROUPING SETS`` aggregation keeps partial
-totals per slice of the keys. Trips are reduced inside the scan tasks, so what
-is shuffled is at most one row per task and distinct key, however unevenly
-trips spread over the keys.
+whole input. Instead one ``GROUPING SETS`` aggregation per service keeps
+partial totals for each slice of the keys. Trips are reduced inside the scan
+tasks, so what is shuffled is at most one row per task and distinct key,
+however unevenly trips spread over the keys.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waybill.functions import calendar, trip
+from waybill.operators.attributes import with_keys
 from waybill.operators.quality import fill_payment_type, start_of, with_duration, with_speed
 from waybill.plans.metrics import ROWS, partial_totals
 from waybill.plans.reports import CLEAN, RECENT, REPORTS, VALID, Report, finish
 from waybill.rules import DEFAULT_RULES, Rules
-from waybill.schema import SERVICE, TIME_PREFIX
+from waybill.schema import SERVICE
 
-# The keys of each slice, besides the validity flag that all slices carry.
+# The keys of each slice, besides the service and the validity flag.
 SLICES = {
-    "service": (SERVICE, "payment_type", "RatecodeID", "year", RECENT),
+    "codes": ("payment_type", "RatecodeID", "year", RECENT),
     "pickup": ("PULocationID",),
     "dropoff": ("DOLocationID",),
     "clock": ("hour", "weekday"),
 }
+SLICE = "slice"
 
 MEASURES = tuple(dict.fromkeys(m for report in REPORTS for m in report.measures))
 
@@ -35,12 +40,14 @@ _KEYS = (VALID, *(key for keys in SLICES.values() for key in keys))
 
 def slice_of(report: Report) -> str:
     """The slice whose keys can answer a report."""
-    needed = {"year" if key == "era" else key for key in report.by}
+    needed = {"year" if key == "era" else key for key in report.by} - {SERVICE}
+    if report.scope != VALID:
+        needed.add("RatecodeID")
     return next(name for name, keys in SLICES.items() if needed <= set(keys))
 
 
 def _slice_name() -> Column:
-    """Slice of a summary row, from which keys its grouping set leaves out."""
+    """Slice of a summary row, told from the keys its grouping set leaves out."""
     top = len(_KEYS) - 1
     name = F.lit(None).cast("string")
     for label, keys in SLICES.items():
@@ -49,32 +56,40 @@ def _slice_name() -> Column:
     return name
 
 
-def summarize(trips: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Partial totals of canonical trips, per slice.
+def summarize_service(trips: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Partial totals per slice, from the canonical trips of one service.
 
     Rows that cleaning would drop stay in, told apart by their rate code and
     the validity flag, so that raw row counts come out of the same scan.
     """
-    pickup = F.col("pickup_datetime")
+    derived = with_speed(with_duration(fill_payment_type(trips, rules)))
     accepted = trip.known_ratecode(F.col("RatecodeID"), rules) & trip.plausible(
         F.col("trip_distance"), F.col("trip_duration_min"), rules
     )
-    derived = with_speed(with_duration(fill_payment_type(trips, rules)))
-    keyed = derived.select(
-        *MEASURES,
-        *(key for key in _KEYS if key in trips.columns),
-        F.coalesce(accepted, F.lit(False)).alias(VALID),
-        F.coalesce(pickup >= start_of(trips, rules), F.lit(False)).alias(RECENT),
-        F.year(pickup).alias("year"),
-        F.hour(pickup).alias("hour"),
-        F.weekday(pickup).alias("weekday"),
+    recent = F.col("pickup_datetime") >= start_of(trips, rules)
+    flagged = derived.withColumns(
+        {VALID: F.coalesce(accepted, F.lit(False)), RECENT: F.coalesce(recent, F.lit(False))}
     )
+    keyed = with_keys(flagged, _KEYS)
     sets = [[F.col(VALID), *map(F.col, keys)] for keys in SLICES.values()]
     return keyed.groupingSets(sets, *map(F.col, _KEYS)).agg(
-        _slice_name().alias("slice"), *partial_totals(MEASURES)
+        _slice_name().alias(SLICE), *partial_totals(MEASURES)
     )
 
 
+def summarize(services: Mapping[str, DataFrame], rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Partial totals of canonical trips per service and slice.
+
+    Each service is aggregated before the union: its name needs no place in
+    the grouping key, and scan to partial totals is one stage of generated code.
+    """
+    parts = [
+        summarize_service(trips, rules).withColumn(SERVICE, F.lit(service))
+        for service, trips in services.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def report_from_summary(
     report: Report,
     summary: DataFrame,
@@ -84,23 +99,14 @@ def report_from_summary(
     """Compute a report from the summary instead of the trips."""
     known = trip.known_ratecode(F.col("RatecodeID"), rules)
     wanted = {CLEAN: known, RECENT: known & F.col(RECENT), VALID: F.col(VALID)}
-    rows = summary.filter((F.col("slice") == slice_of(report)) & wanted[report.scope])
-    keys = [
-        calendar.era(F.col("year"), rules).alias(key) if key == "era" else F.col(key)
-        for key in report.by
-    ]
-    groups = rows.groupBy(*keys).agg(*(metric.over_totals() for metric in report.metrics))
+    rows = summary.filter((F.col(SLICE) == slice_of(report)) & wanted[report.scope])
+    if "era" in report.by:
+        rows = rows.withColumn("era", calendar.era(F.col("year"), rules))
+    groups = rows.groupBy(*report.by).agg(*(m.over_totals() for m in report.metrics))
     return finish(report, groups, zones)
 
 
-def source_counts(summary: DataFrame) -> dict[str, int]:
-    """Raw rows per service and in total."""
-    per_service = (
-        summary.filter(F.col("slice") == "service")
-        .groupBy(SERVICE)
-        .agg(F.sum(ROWS).alias(ROWS))
-        .collect()
-    )
-    counts = dict.fromkeys(TIME_PREFIX, 0)
-    counts.update((row[SERVICE], row[ROWS]) for row in per_service)
-    return {**counts, "union": sum(counts.values())}
+def source_counts(summary: DataFrame) -> DataFrame:
+    """Raw rows per service."""
+    codes = summary.filter(F.col(SLICE) == "codes")
+    return codes.groupBy(SERVICE).agg(F.sum(ROWS).alias("row_count"))
