@@ -5,13 +5,14 @@ from __future__ import annotations
 import argparse
 import logging
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from waybill.operators.normalize import normalize_all, union_trips
 from waybill.operators.quality import clean_trips
-from waybill.plans.reports import REPORTS, build, register_trips
+from waybill.plans.reports import REPORTS, Report, build, register_trips
 from waybill.plans.summary import SLICE, report_from_summary, source_counts, summarize
 from waybill.rules import DEFAULT_RULES, Rules
 from waybill.sinks.parquet import write_report
@@ -61,15 +62,19 @@ def run(
         for service, rows in source_counts(summary).collect():
             log.info("%s trips: %d rows", service, rows)
 
-    written = {}
-    for report in REPORTS:
+    def write(report: Report) -> tuple[str, str]:
         if shared_scan:
             frame = report_from_summary(report, summary, zones, rules)
         else:
             frame = build(report, clean, zones, rules)
-        written[report.name] = write_report(frame, output, report.name)
-        log.info("wrote %s", written[report.name])
-    return written
+        path = write_report(frame, output, report.name)
+        log.info("wrote %s", path)
+        return report.name, path
+
+    # Reports from the summary are tiny jobs, so they are submitted together;
+    # full scans would only get in each other's way.
+    with ThreadPoolExecutor(len(REPORTS) if shared_scan else 1) as pool:
+        return dict(pool.map(write, REPORTS))
 
 
 def main(argv: list[str] | None = None) -> None:
