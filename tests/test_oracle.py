@@ -1,0 +1,26 @@
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as contract
+import oracle_check
+
+
+@pytest.fixture(scope="module")
+def connection(sf_dir):
+    with oracle_check.connect(sf_dir) as connection:
+        yield connection
+
+
+def test_every_query_has_a_statement():
+    assert contract.queries().keys() == contract.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("key", contract.queries())
+def test_query_equals_statement(spark, sf_dir, connection, key):
+    frame = contract.queries()[key](spark, sf_dir)
+    assert oracle_check.differences(frame, connection, contract.oracle_sql()[key]) == []
+
+
+def test_flagship(spark):
+    assert contract.entry(spark).count() > 0

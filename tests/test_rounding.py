@@ -1,0 +1,70 @@
+from __future__ import annotations
+
+import math
+import random
+from decimal import ROUND_HALF_UP, Decimal
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from waybill.functions.rounding import round_aggregate, round_half_up
+
+KEEP_SESSION = settings(
+    max_examples=25,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
+)
+
+
+def half_up(value: float) -> float:
+    return float(Decimal(repr(value)).quantize(Decimal("0.01"), ROUND_HALF_UP)) + 0.0
+
+
+def rounded(spark, values):
+    frame = spark.createDataFrame([(v,) for v in values], "x double")
+    return frame.select("x", round_half_up(F.col("x")).alias("fast"), F.round("x", 2).alias("slow"))
+
+
+def test_ties_signs_and_extremes(spark):
+    values = [1.005, 2.675, -1.005, 0.005, -0.005, -0.001, 0.0, -0.0, 14.215, 1e12 + 0.125]
+    values += [1e300, -1e300, 9999999.995, 10000000.005, 99.995, math.nextafter(99.995, 0)]
+    for row in rounded(spark, values).collect():
+        assert row.fast == row.slow
+        assert math.copysign(1, row.fast) == math.copysign(1, row.slow), row
+
+
+def test_missing_and_non_finite(spark):
+    rows = rounded(spark, [None, math.nan, math.inf, -math.inf]).collect()
+    assert rows[0].fast is None
+    assert math.isnan(rows[1].fast)
+    assert [row.fast for row in rows[2:]] == [math.inf, -math.inf]
+
+
+@KEEP_SESSION
+@given(st.lists(st.floats(-1e7, 1e7, allow_nan=False), min_size=1, max_size=200))
+def test_equals_decimal_rounding(spark, values):
+    for row in rounded(spark, values).collect():
+        assert row.fast == half_up(row.x)
+
+
+def test_equals_builtin_on_every_near_tie(spark):
+    ties = spark.range(0, 400_000).select(((F.col("id") - 200_000) / 1000).alias("x"))
+    nudged = ties.select(F.explode(F.array("x", F.col("x") * (1 + 1e-15), F.col("x") / 7)).alias("x"))
+    assert nudged.filter(round_half_up(F.col("x")) != F.round("x", 2)).count() == 0
+
+
+def test_aggregate_rounding_ignores_summation_noise(spark):
+    below, exact = math.nextafter(14.215, 0), 14.215
+    frame = spark.createDataFrame([(below,), (exact,)], "x double")
+    assert {row[0] for row in frame.select(round_aggregate(F.col("x"))).collect()} == {14.22}
+
+
+def test_aggregate_rounding_is_stable_under_reordering(spark):
+    values = [0.1 * i for i in range(1, 1000)]
+    outcomes = set()
+    for seed in range(5):
+        random.Random(seed).shuffle(values)
+        frame = spark.createDataFrame([(v,) for v in values], "x double").repartition(seed + 1)
+        outcomes.add(frame.agg(round_aggregate(F.avg("x"))).first()[0])
+    assert outcomes == {50.0}
