@@ -194,7 +194,72 @@ def _spell_out(sql: str) -> str:
     return _HALF_UP.sub(r"CAST(round(CAST(\1 AS DECIMAL(38, 8)), 2) AS DOUBLE)", sql)
 
 
+# Report directory, grouping keys and metrics of each report.
+_WRITTEN = {
+    "r01_trips_per_service": ("trips_per_service_type", ("service_type",), ("total_trips",)),
+    "r02_fare_analysis": (
+        "fare_analysis",
+        ("service_type", "payment_type"),
+        ("total_revenue_k", "avg_fare", "avg_tip", "avg_tolls", "avg_congestion", "total_trips"),
+    ),
+    "r03_yoy_volume": (
+        "yoy_trip_volume",
+        ("year", "service_type"),
+        ("total_trips", "total_revenue", "avg_distance"),
+    ),
+    "r04_speed_by_zone": (
+        "speed_by_zone",
+        ("PULocationID",),
+        ("avg_speed", "avg_duration", "trip_count"),
+    ),
+    "r05_top_pickup": (
+        "top_pickup_zones",
+        ("PULocationID",),
+        ("pickup_count", "avg_revenue_per_trip"),
+    ),
+    "r06_top_dropoff": (
+        "top_dropoff_zones",
+        ("DOLocationID",),
+        ("dropoff_count", "total_revenue"),
+    ),
+    "r07_payment_behavior": (
+        "payment_behavior",
+        ("payment_type", "service_type"),
+        ("trip_count", "avg_tip", "avg_total", "avg_distance"),
+    ),
+    "r08_hourly_patterns": (
+        "hourly_patterns",
+        ("hour", "day_of_week"),
+        ("trip_count", "avg_revenue", "avg_tip"),
+    ),
+    "r09_ratecode": (
+        "ratecode_analysis",
+        ("RatecodeID",),
+        ("trip_count", "avg_fare", "avg_distance", "avg_tip", "total_revenue_k"),
+    ),
+    "r10_congestion": (
+        "congestion_impact",
+        ("era", "service_type"),
+        ("trip_count", "avg_total", "avg_fare", "avg_congestion_charge"),
+    ),
+}
+
+
+def _job_reports() -> str:
+    """All reports in long form: one row per group and metric."""
+    tables, rows = [], []
+    for key, (name, keys, metrics) in _WRITTEN.items():
+        tables.append(f", {key} AS ({REPORTS[key]})")
+        item = " || '|' || ".join(f"""coalesce(CAST("{k}" AS VARCHAR), '-')""" for k in keys)
+        rows += [
+            f"SELECT '{name}' AS report, {item} AS item, '{metric}' AS metric,"
+            f' CAST("{metric}" AS DOUBLE) AS value FROM {key}'
+            for metric in metrics
+        ]
+    return "\n".join(tables) + "\n" + "\nUNION ALL ".join(rows)
+
+
 def statements() -> dict[str, str]:
     shared = {f"shared_{name}": sql for name, sql in REPORTS.items()}
-    every = {**OPERATORS, **REPORTS, **shared}
+    every = {**OPERATORS, "job_reports": _job_reports(), **REPORTS, **shared}
     return {name: _RELATIONS + _spell_out(sql) for name, sql in every.items()}

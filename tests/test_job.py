@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -63,6 +65,58 @@ def test_summary_is_staged_in_the_checkpoint_folder(spark, inputs, tmp_path):
     assert slices == {"slice=codes", "slice=pickup", "slice=dropoff", "slice=clock"}
 
 
+def test_no_trips_at_all(spark, inputs, tmp_path):
+    empty = {}
+    for service in ("green", "yellow"):
+        empty[f"input_{service}"] = f"{tmp_path}/{service}"
+        none = trip_rows.raw(spark, {}, service=service).limit(0)
+        none.write.parquet(f"{tmp_path}/{service}")
+    for shared in (True, False):
+        written = job.run(
+            spark, **{**inputs, **empty}, output=f"{tmp_path}/out", shared_scan=shared
+        )
+        assert [rows(spark, path) for path in written.values()] == [[]] * 10
+
+
+def test_decimal_amounts_and_a_second_number_type(spark, inputs, tmp_path):
+    """Sources may store the same column with different number types."""
+    paths = {}
+    for service, amount, code in (("green", "decimal(10,2)", "int"), ("yellow", "double", "double")):
+        paths[f"input_{service}"] = f"{tmp_path}/{service}"
+        raw = trip_rows.raw(spark, {}, {"total_amount": 20.11}, service=service)
+        raw = raw.withColumns(
+            {
+                "total_amount": raw["total_amount"].cast(amount),
+                "RatecodeID": raw["RatecodeID"].cast(code),
+                "trip_distance": raw["trip_distance"].cast("float"),
+            }
+        )
+        raw.write.parquet(paths[f"input_{service}"])
+    outcomes = []
+    for shared in (True, False):
+        written = job.run(
+            spark, **{**inputs, **paths}, output=f"{tmp_path}/{shared}", shared_scan=shared
+        )
+        outcomes.append([rows(spark, path) for path in written.values()])
+    assert outcomes[0] == outcomes[1]
+    report = spark.read.parquet(written["ratecode_analysis"])
+    assert [tuple(row) for row in report.collect()] == [(1.0, 4, 15.0, 2.0, 3.0, 0.08)]
+
+
+def test_command_line(inputs, tmp_path):
+    """The job as a process of its own, on two local threads."""
+    options = [f"--{name}={path}" for name, path in inputs.items()]
+    submit = "--master local[2] --conf spark.ui.enabled=false pyspark-shell"
+    subprocess.run(
+        [sys.executable, "-m", "waybill.plans.job", *options, f"--output={tmp_path}/out/"],
+        check=True,
+        timeout=300,
+        cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+        env={**os.environ, "PYSPARK_SUBMIT_ARGS": submit},
+    )
+    assert DIRECTORIES <= set(os.listdir(tmp_path / "out"))
+
+
 def test_failure_reaches_the_caller(spark, inputs, tmp_path):
     broken = {**inputs, "input_zones": str(tmp_path / "missing")}
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import logging
 import uuid
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -33,32 +34,28 @@ def stage(spark: SparkSession, summary: DataFrame, output: str) -> DataFrame:
     folder = spark.conf.get(CHECKPOINT_SETTING, None) or output
     path = f"{folder.rstrip('/')}/_trip_summary-{uuid.uuid4().hex}"
     summary.write.partitionBy(SLICE).parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(summary.schema).parquet(path)
 
 
-def run(
-    spark: SparkSession,
-    input_green: str,
-    input_yellow: str,
-    input_zones: str,
+def write_reports(
+    services: Mapping[str, DataFrame],
+    zones: DataFrame,
     output: str,
     rules: Rules = DEFAULT_RULES,
     shared_scan: bool = True,
 ) -> dict[str, str]:
-    """Write all reports below ``output``; returns report name -> directory.
+    """Write all reports on raw trips below ``output``; returns name -> directory.
 
     With ``shared_scan`` the trips are read once. Without, every report reads
-    the columns it needs, which pays off only for a narrow set of reports.
+    the columns it needs, one report after the other.
     """
-    zones = read_zones(spark, input_zones)
-    services = normalize_all(
-        {"green": read_trips(spark, input_green), "yellow": read_trips(spark, input_yellow)}
-    )
-    clean = clean_trips(reduce(union_trips, services.values()), rules)
+    spark = zones.sparkSession
+    canonical = normalize_all(services)
+    clean = clean_trips(reduce(union_trips, canonical.values()), rules)
     register_trips(clean)
 
     if shared_scan:
-        summary = stage(spark, summarize(services, rules), output)
+        summary = stage(spark, summarize(canonical, rules), output)
         for service, rows in source_counts(summary).collect():
             log.info("%s trips: %d rows", service, rows)
 
@@ -77,6 +74,20 @@ def run(
         return dict(pool.map(write, REPORTS))
 
 
+def run(
+    spark: SparkSession,
+    input_green: str,
+    input_yellow: str,
+    input_zones: str,
+    output: str,
+    rules: Rules = DEFAULT_RULES,
+    shared_scan: bool = True,
+) -> dict[str, str]:
+    """Read the three Parquet inputs and write all reports below ``output``."""
+    services = {"green": read_trips(spark, input_green), "yellow": read_trips(spark, input_yellow)}
+    return write_reports(services, read_zones(spark, input_zones), output, rules, shared_scan)
+
+
 def main(argv: list[str] | None = None) -> None:
     """Entry point for ``spark-submit``."""
     parser = argparse.ArgumentParser(description="Write the ten trip reports")

@@ -7,6 +7,7 @@ of an earlier aggregation (``over_totals``). Both give the same value.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -17,7 +18,7 @@ from waybill.functions.rounding import round_aggregate
 ROWS = "trip_rows"
 
 
-def partial_totals(measures: tuple[str, ...]) -> list[Column]:
+def partial_totals(measures: Iterable[str]) -> list[Column]:
     """The row count, and a sum and a non-NULL count for every measure."""
     totals = [F.count("*").alias(ROWS)]
     for measure in measures:

@@ -10,7 +10,7 @@ however unevenly trips spread over the keys.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -33,10 +33,6 @@ SLICES = {
 }
 SLICE = "slice"
 
-MEASURES = tuple(dict.fromkeys(m for report in REPORTS for m in report.measures))
-
-_KEYS = (VALID, *(key for keys in SLICES.values() for key in keys))
-
 
 def slice_of(report: Report) -> str:
     """The slice whose keys can answer a report."""
@@ -46,22 +42,33 @@ def slice_of(report: Report) -> str:
     return next(name for name, keys in SLICES.items() if needed <= set(keys))
 
 
-def _slice_name() -> Column:
+def _slice_name(keys: list[str], slices: list[str]) -> Column:
     """Slice of a summary row, told from the keys its grouping set leaves out."""
-    top = len(_KEYS) - 1
+    top = len(keys) - 1
     name = F.lit(None).cast("string")
-    for label, keys in SLICES.items():
-        left_out = sum(1 << (top - i) for i, k in enumerate(_KEYS) if k not in (VALID, *keys))
+    for label in slices:
+        kept = (VALID, *SLICES[label])
+        left_out = sum(1 << (top - i) for i, key in enumerate(keys) if key not in kept)
         name = F.when(F.grouping_id() == left_out, label).otherwise(name)
     return name
 
 
-def summarize_service(trips: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+def summarize_service(
+    trips: DataFrame,
+    rules: Rules = DEFAULT_RULES,
+    reports: Iterable[Report] = REPORTS,
+) -> DataFrame:
     """Partial totals per slice, from the canonical trips of one service.
 
-    Rows that cleaning would drop stay in, told apart by their rate code and
-    the validity flag, so that raw row counts come out of the same scan.
+    Only the slices and measures that ``reports`` need are kept. Rows that
+    cleaning would drop stay in, told apart by their rate code and the
+    validity flag, so that raw row counts come out of the same scan.
     """
+    reports = tuple(reports)
+    slices = list(dict.fromkeys(map(slice_of, reports)))
+    measures = list(dict.fromkeys(m for report in reports for m in report.measures))
+    keys = [VALID, *(key for name in slices for key in SLICES[name])]
+
     derived = with_speed(with_duration(fill_payment_type(trips, rules)))
     accepted = trip.known_ratecode(F.col("RatecodeID"), rules) & trip.plausible(
         F.col("trip_distance"), F.col("trip_duration_min"), rules
@@ -70,21 +77,27 @@ def summarize_service(trips: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFra
     flagged = derived.withColumns(
         {VALID: F.coalesce(accepted, F.lit(False)), RECENT: F.coalesce(recent, F.lit(False))}
     )
-    keyed = with_keys(flagged, _KEYS)
-    sets = [[F.col(VALID), *map(F.col, keys)] for keys in SLICES.values()]
-    return keyed.groupingSets(sets, *map(F.col, _KEYS)).agg(
-        _slice_name().alias(SLICE), *partial_totals(MEASURES)
+    sets = [[F.col(VALID), *map(F.col, SLICES[name])] for name in slices]
+    return (
+        with_keys(flagged, keys)
+        .groupingSets(sets, *map(F.col, keys))
+        .agg(_slice_name(keys, slices).alias(SLICE), *partial_totals(measures))
     )
 
 
-def summarize(services: Mapping[str, DataFrame], rules: Rules = DEFAULT_RULES) -> DataFrame:
+def summarize(
+    services: Mapping[str, DataFrame],
+    rules: Rules = DEFAULT_RULES,
+    reports: Iterable[Report] = REPORTS,
+) -> DataFrame:
     """Partial totals of canonical trips per service and slice.
 
     Each service is aggregated before the union: its name needs no place in
     the grouping key, and scan to partial totals is one stage of generated code.
     """
+    reports = tuple(reports)
     parts = [
-        summarize_service(trips, rules).withColumn(SERVICE, F.lit(service))
+        summarize_service(trips, rules, reports).withColumn(SERVICE, F.lit(service))
         for service, trips in services.items()
     ]
     return reduce(DataFrame.unionByName, parts)

@@ -32,15 +32,15 @@ def trips(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
 
     of_day = (order * 7919 + line * 104729) % 86400
     travel = F.when(part % 50 == 7, F.lit(0)).otherwise((part * 37 + order * 11) % 20000 - 600)
-    pickup = shipped + F.expr("INTERVAL '22' YEAR") + _seconds(of_day)
+    day = shipped + F.expr("INTERVAL '22' YEAR")
     surcharged = shipped >= F.lit("1997-02-01").cast("timestamp_ntz")
 
     return (
         _table(spark, sf_dir, "lineitem")
         .filter(F.col("l_linestatus") == _LINE_STATUS[service])
         .select(
-            pickup.alias(f"{prefix}pickup_datetime"),
-            (pickup + _seconds(travel)).alias(f"{prefix}dropoff_datetime"),
+            (day + _seconds(of_day)).alias(f"{prefix}pickup_datetime"),
+            (day + _seconds(of_day + travel)).alias(f"{prefix}dropoff_datetime"),
             F.when(line < 7, line - 1).alias("payment_type"),
             F.when(quantity >= 49, F.lit(99))
             .when(quantity < 47, quantity.cast("int") % 6 + 1)
