@@ -15,7 +15,7 @@ from waybill.sources import lineitem
 
 
 def services(spark, sf_dir):
-    return {s: lineitem.trips(spark, sf_dir, s) for s in ("green", "yellow")}
+    return lineitem.services(spark, sf_dir)
 
 
 @pytest.fixture(scope="module")

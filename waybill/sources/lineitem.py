@@ -24,8 +24,18 @@ def _seconds(amount: Column) -> Column:
     return F.expr("INTERVAL '1' SECOND") * amount.cast("int")
 
 
+def services(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Raw trips of every service."""
+    lines = _table(spark, sf_dir, "lineitem")
+    return {service: _trips_of(lines, service) for service in _LINE_STATUS}
+
+
 def trips(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
     """Raw trips of one service, with that service's column names."""
+    return _trips_of(_table(spark, sf_dir, "lineitem"), service)
+
+
+def _trips_of(lines: DataFrame, service: str) -> DataFrame:
     order, line, part = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
     quantity, shipped = F.col("l_quantity"), F.col("l_shipdate")
     prefix = TIME_PREFIX[service]
@@ -35,25 +45,21 @@ def trips(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
     day = shipped + F.expr("INTERVAL '22' YEAR")
     surcharged = shipped >= F.lit("1997-02-01").cast("timestamp_ntz")
 
-    return (
-        _table(spark, sf_dir, "lineitem")
-        .filter(F.col("l_linestatus") == _LINE_STATUS[service])
-        .select(
-            (day + _seconds(of_day)).alias(f"{prefix}pickup_datetime"),
-            (day + _seconds(of_day + travel)).alias(f"{prefix}dropoff_datetime"),
-            F.when(line < 7, line - 1).alias("payment_type"),
-            F.when(quantity >= 49, F.lit(99))
-            .when(quantity < 47, quantity.cast("int") % 6 + 1)
-            .alias("RatecodeID"),
-            F.col("l_extendedprice").alias("total_amount"),
-            quantity.alias("fare_amount"),
-            (F.col("l_discount") * 100).alias("tip_amount"),
-            (F.col("l_tax") * 100).alias("tolls_amount"),
-            F.when(surcharged, F.lit(2.5) * (line % 2)).alias("congestion_surcharge"),
-            F.when(part % 50 != 0, quantity - 2).alias("trip_distance"),
-            F.col("l_suppkey").cast("int").alias("PULocationID"),
-            (part % 265).cast("int").alias("DOLocationID"),
-        )
+    return lines.filter(F.col("l_linestatus") == _LINE_STATUS[service]).select(
+        (day + _seconds(of_day)).alias(f"{prefix}pickup_datetime"),
+        (day + _seconds(of_day + travel)).alias(f"{prefix}dropoff_datetime"),
+        F.when(line < 7, line - 1).alias("payment_type"),
+        F.when(quantity >= 49, F.lit(99))
+        .when(quantity < 47, quantity.cast("int") % 6 + 1)
+        .alias("RatecodeID"),
+        F.col("l_extendedprice").alias("total_amount"),
+        quantity.alias("fare_amount"),
+        (F.col("l_discount") * 100).alias("tip_amount"),
+        (F.col("l_tax") * 100).alias("tolls_amount"),
+        F.when(surcharged, F.lit(2.5) * (line % 2)).alias("congestion_surcharge"),
+        F.when(part % 50 != 0, quantity - 2).alias("trip_distance"),
+        F.col("l_suppkey").cast("int").alias("PULocationID"),
+        (part % 265).cast("int").alias("DOLocationID"),
     )
 
 
