@@ -9,7 +9,7 @@ import __spark_entry__ as contract
 import trip_rows
 from waybill.operators.normalize import canonical_trips, normalize, normalize_all
 from waybill.operators.quality import clean_trips
-from waybill.plans import reports, summary
+from waybill.plans import job, reports, summary
 from waybill.sources import lineitem
 from waybill.sources.parquet import read_trips, read_zones
 
@@ -123,6 +123,17 @@ def test_summary_scans_each_source_once(spark, stored, capsys):
     assert [len(columns) for columns in read_columns(text)] == [12, 12]
 
 
+def test_report_reads_its_slice_of_the_staged_summary_only(spark, stored, tmp_path, capsys):
+    services = normalize_all(raw(spark, stored))
+    staged = job.stage(spark, summary.summarize(services), str(tmp_path))
+    for report in reports.REPORTS:
+        zones = read_zones(spark, f"{stored}/zones")
+        text = plan(summary.report_from_summary(report, staged, zones), capsys)
+        assert "(slice#" in text
+        assert f"= {summary.slice_of(report)})" in text
+        assert "PartitionFilters" in text
+
+
 def test_summary_for_one_report_reads_only_what_it_needs(spark, stored, capsys):
     services = normalize_all(raw(spark, stored))
     text = plan(summary.summarize(services, reports=[reports.TOP_DROPOFF]), capsys)
