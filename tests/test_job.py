@@ -49,22 +49,49 @@ def test_job_writes_ten_reports_and_replaces_them(spark, inputs, tmp_path):
         output = str(tmp_path / str(shared))
         for _ in range(2):
             outputs[shared] = job.run(spark, **inputs, output=output + "/", shared_scan=shared)
-        assert set(os.listdir(output)) == DIRECTORIES
+        assert {name for name in os.listdir(output) if name[0] not in "._"} == DIRECTORIES
     for report in reports.REPORTS:
         first, second = (rows(spark, outputs[shared][report.name]) for shared in (True, False))
         assert first == second
         assert first
 
 
+def listing(folder):
+    return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+
 def test_summary_is_staged_in_the_checkpoint_folder(spark, inputs, tmp_path):
-    folder = spark.conf.get("spark.checkpoint.dir")
-    before = set(os.listdir(folder))
+    folder = spark.conf.get(job.CHECKPOINT_SETTING, None) or str(tmp_path)
+    before = listing(folder)
     job.run(spark, **inputs, output=str(tmp_path))
-    (staged,) = {name for name in set(os.listdir(folder)) - before if "summary" in name}
-    slices = {name for name in os.listdir(f"{folder}/{staged}") if name.startswith("slice=")}
+    (staged,) = {name for name in listing(folder) - before if name.startswith("_trip_summary")}
+    slices = {name for name in listing(f"{folder}/{staged}") if name.startswith("slice=")}
     assert slices == {"slice=codes", "slice=pickup", "slice=dropoff", "slice=clock"}
 
 
+@pytest.mark.parametrize("setting", [None, "shared"])
+def test_command_line(inputs, tmp_path, setting):
+    """The summary goes to the checkpoint folder if one is set, else to the output path."""
+    conf = "" if setting is None else f"--conf spark.checkpoint.dir={tmp_path}/{setting}"
+    (tmp_path / "conf").mkdir()
+    options = [f"--{name}={path}" for name, path in inputs.items()]
+    submit = f"--master local[2] --conf spark.ui.enabled=false {conf} pyspark-shell"
+    subprocess.run(
+        [sys.executable, "-m", "waybill.plans.job", *options, f"--output={tmp_path}/out/"],
+        check=True,
+        timeout=300,
+        cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+        env={
+            **os.environ,
+            "PYSPARK_SUBMIT_ARGS": submit,
+            "SPARK_CONF_DIR": str(tmp_path / "conf"),
+        },
+    )
+    assert DIRECTORIES <= listing(tmp_path / "out")
+    staged = listing(tmp_path / (setting or "out"))
+    assert sum(name.startswith("_trip_summary") for name in staged) == 1
+
+
 def test_no_trips_at_all(spark, inputs, tmp_path):
     empty = {}
     for service in ("green", "yellow"):
@@ -103,20 +130,6 @@ def test_decimal_amounts_and_a_second_number_type(spark, inputs, tmp_path):
     assert [tuple(row) for row in report.collect()] == [(1.0, 4, 15.0, 2.0, 3.0, 0.08)]
 
 
-def test_command_line(inputs, tmp_path):
-    """The job as a process of its own, on two local threads."""
-    options = [f"--{name}={path}" for name, path in inputs.items()]
-    submit = "--master local[2] --conf spark.ui.enabled=false pyspark-shell"
-    subprocess.run(
-        [sys.executable, "-m", "waybill.plans.job", *options, f"--output={tmp_path}/out/"],
-        check=True,
-        timeout=300,
-        cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
-        env={**os.environ, "PYSPARK_SUBMIT_ARGS": submit},
-    )
-    assert DIRECTORIES <= set(os.listdir(tmp_path / "out"))
-
-
 def test_failure_reaches_the_caller(spark, inputs, tmp_path):
     broken = {**inputs, "input_zones": str(tmp_path / "missing")}
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):

@@ -16,6 +16,7 @@ from waybill.operators.quality import clean_trips
 from waybill.plans.reports import REPORTS, Report, build, register_trips
 from waybill.plans.summary import SLICE, report_from_summary, source_counts, summarize
 from waybill.rules import DEFAULT_RULES, Rules
+from waybill.schema import SERVICE
 from waybill.sinks.parquet import write_report
 from waybill.sources.parquet import read_trips, read_zones
 
@@ -56,8 +57,8 @@ def write_reports(
 
     if shared_scan:
         summary = stage(spark, summarize(canonical, rules), output)
-        for service, rows in source_counts(summary).collect():
-            log.info("%s trips: %d rows", service, rows)
+        counts = {row[SERVICE]: row["row_count"] for row in source_counts(summary).collect()}
+        log.info("trips read: %s, %d in all", counts, sum(counts.values()))
 
     def write(report: Report) -> tuple[str, str]:
         if shared_scan:
