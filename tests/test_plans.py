@@ -143,11 +143,11 @@ def test_summary_for_one_report_reads_only_what_it_needs(spark, stored, capsys):
     assert "avg_speed_mph" not in text
 
 
-@pytest.mark.parametrize("key", contract.queries())
+@pytest.mark.parametrize("key", contract.trip_queries())
 def test_no_python_workers_and_no_cross_joins(spark, sf_dir, key, capsys):
     if key in ("sink_roundtrip", "job_reports"):
         pytest.skip("already written")
-    text = plan(contract.queries()[key](spark, sf_dir), capsys)
+    text = plan(contract.trip_queries()[key](spark, sf_dir), capsys)
     for unwanted in ("EvalPython", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert unwanted not in text
     for line in text.splitlines():
