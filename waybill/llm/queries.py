@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import mixing, packing, token_files
+from waybill.llm import mixing, packing, quality, token_files
 from waybill.llm.shared import new_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,10 +32,15 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary, WORD_END)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
     "op2_mixing": op2_mixing,
     "op4_packing": op4_packing,
+    "op5_quality": op5_quality,
 }
 
 SQL: dict[str, str] = {
