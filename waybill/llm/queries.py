@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import mixing, packing, quality, token_files
+from waybill.llm import line_dedup, mixing, packing, quality, simhash, token_files
 from waybill.llm.shared import new_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary, WORD_END)
@@ -36,13 +40,20 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
     "op2_mixing": op2_mixing,
+    "op3_simhash": op3_simhash,
     "op4_packing": op4_packing,
     "op5_quality": op5_quality,
+    "op6_line_dedup": op6_line_dedup,
 }
 
 SQL: dict[str, str] = {
     "op2_mixing": mixing.SQL,
+    "op6_line_dedup": line_dedup.SQL,
 }
