@@ -69,3 +69,9 @@ def words(text: Column) -> Column:
     """The words of a text; none for NULL."""
     split = F.split(F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACE_CHARACTERS)), f"{SPACE}+")
     return F.filter(split, lambda word: word != "")
+
+
+def is_held_out(folds: int, fold: int) -> Column:
+    """Whether crc32 of doc_id as text modulo ``folds`` is ``fold``; true for a row without an id."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return F.coalesce(checksum % folds == fold, F.lit(True))
