@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybill.llm.shared import free_name, ship, staged
-from waybill.llm.tokens import encoder, id_type
+from waybill.llm.tokens import encoder
 
 SEQUENCE_TOKENS = 2048
 #: Bins that may be open at a time, in each bucket.
@@ -83,28 +83,31 @@ def token_pieces(
     the ids as unsigned 32-bit integers) and, if wanted, the ids as binary.
     """
     ship(docs.sparkSession)
-    dtype = id_type(vocabulary, end_id)
     names = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary, dtype).encode
-        end = np.array([end_id], dtype).tobytes()
+        encode = encoder(vocabulary, end_id).encode
         for batch in batches:
-            doc_ids = batch.column("id").to_pylist()
-            rows: list[tuple] = []
-            for doc_id, encoded in zip(
-                doc_ids, encode([t or "" for t in batch.column("text").to_pylist()]), strict=True
-            ):
-                ids = np.frombuffer(encoded + end, dtype)
-                for piece, start in enumerate(range(0, len(ids), size)):
-                    part = ids[start : start + size]
-                    row = (doc_id, piece, start, len(part), zlib.crc32(part.astype("<u4")))
-                    rows.append((*row, part.tobytes()) if with_ids else row)
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            columns = zip(*rows) if rows else [[] for _ in names]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, kind) for c, kind in zip(columns, kinds)], names=names
-            )
+            done = 0
+            for ids, lengths in encode(batch.column("text")):
+                pieces = -(-lengths // size)
+                of = np.repeat(np.arange(len(lengths)), pieces)
+                piece = np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * size
+                length = np.minimum(size, lengths[of] - start)
+                first = (np.cumsum(lengths) - lengths)[of] + start
+                parts = [ids[a : a + n] for a, n in zip(first.tolist(), length.tolist())]
+                columns = [
+                    batch.column("id").take(pa.array(done + of)),
+                    pa.array(piece, pa.int32()),
+                    pa.array(start, pa.int64()),
+                    pa.array(length, pa.int64()),
+                    pa.array([zlib.crc32(part.astype("<u4")) for part in parts], pa.int64()),
+                ]
+                if with_ids:
+                    columns.append(pa.array([part.tobytes() for part in parts], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+                done += len(lengths)
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))

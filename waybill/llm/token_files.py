@@ -64,26 +64,22 @@ def write_token_files(
         context = TaskContext.get()
         name = f"{context.partitionId():05d}-{context.taskAttemptId()}"
         store, base = fs.FileSystem.from_uri(f"{folder}/{name}")
-        encode, end = encoder(vocabulary, dtype).encode, np.array([end_id], dtype).tobytes()
-        width, written, documents, null_ids = len(end), 0, 0, 0
+        encode, written, documents, null_ids = encoder(vocabulary, end_id).encode, 0, 0, 0
         with (
             store.open_output_stream(f"{base}.bin") as ids_out,
             store.open_output_stream(f"{base}.off") as offsets_out,
             store.open_output_stream(f"{base}.ids") as names_out,
         ):
             for batch in batches:
-                doc_ids, texts = batch.column("id"), batch.column("text")
-                lengths = np.empty(len(texts), "<u8")
-                for i, ids in enumerate(encode([t or "" for t in texts.to_pylist()])):
-                    ids_out.write(ids)
-                    ids_out.write(end)
-                    lengths[i] = len(ids) // width + 1
-                ends = written + np.cumsum(lengths, dtype="<u8")
-                offsets_out.write((ends - lengths).astype("<u8").tobytes())
+                doc_ids = batch.column("id")
+                for ids, lengths in encode(batch.column("text")):
+                    ends = written + np.cumsum(lengths)
+                    ids_out.write(ids.tobytes())
+                    offsets_out.write((ends - lengths).astype("<u8").tobytes())
+                    written = int(ends[-1])
                 names_out.write(doc_ids.fill_null(0).to_numpy().astype("<i8").tobytes())
-                documents += len(texts)
+                documents += len(doc_ids)
                 null_ids += doc_ids.null_count
-                written = int(ends[-1]) if len(ends) else written
             offsets_out.write(np.array([written], "<u8").tobytes())
         row = (context.partitionId(), name, documents, null_ids, written)
         yield pa.RecordBatch.from_pylist([dict(zip(_SHARD.names, row))], schema=_SHARD)

@@ -1,9 +1,10 @@
 """Token ids of whole texts, by the tokenizers library, inside Arrow tasks.
 
-Most running text repeats its words, so a worker encodes each word once and
-looks it up afterwards. That is exact only where a tokenizer cannot see across
-the cut, which ``_chunks`` decides from its definition; other texts and other
-tokenizers go through the library whole.
+Running text repeats its words. A task cuts a slice of texts into words,
+numbers the distinct ones, looks up or encodes each of those once, and gathers
+the ids of all texts from them by position. Cutting is exact only where a
+tokenizer cannot see across the cut, which ``_cuts`` decides from its
+definition; other tokenizers and texts go through the library whole.
 """
 
 from __future__ import annotations
@@ -12,43 +13,48 @@ import functools
 import json
 import os
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Words that a worker remembers; about 200 bytes each.
-CACHED_WORDS = 400_000
-#: Characters that are cut into words at a time.
-AT_ONCE = 1 << 20
+CACHED_WORDS = 800_000
+#: Bytes of text that are cut and gathered at a time.
+SLICE_BYTES = 6 << 20
 
-_OTHER_SPACE = re.compile(r"[^\S \n]")
-_WITH_SPACE_BEFORE = re.compile(r"[ \n]*[^ \n]+|[ \n]+").findall
-_WITHOUT_SPACE = re.compile(r"[^ \n]+").findall
-_CUT = re.compile(r"(?<=[^ \n])[ \n]")
+#: Marks a word that no blank precedes; twice, the end of a text.
+_MARK = "\0"
+#: All that Python or a tokenizer may hold for white space.
+_SPACES = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: White space that a tokenizer might group across a cut, and the mark itself.
+_HARD = rf" {_SPACES}|{_SPACES}{{3}}|{_SPACES}{{2}}$|\x00"
+_CUT = re.compile(r"(?<=[^\s\x1c-\x1f])[ \n]")
 
 
-def _chunks(definition: dict) -> tuple[Callable[[str], list[str]] | None, bool]:
-    """How texts may be cut into words, and whether that needs plain white space.
+def _cuts(definition: dict) -> str | None:
+    """How texts may be cut into words: "before" white space, "at" it, or not at all.
 
-    A byte-level tokenizer that keeps white space puts it before the word
+    A byte-level tokenizer that keeps white space puts a blank to the word
     behind it, and no piece crosses from a word into white space. One that
     drops white space treats every word alone.
     """
     pieces = definition.get("pre_tokenizer") or {}
-    if pieces.get("type") == "ByteLevel":
-        plain = pieces.get("use_regex") and not pieces.get("add_prefix_space")
-        if plain and not definition.get("normalizer"):
-            return _WITH_SPACE_BEFORE, True
+    if pieces.get("type") == "ByteLevel" and not definition.get("normalizer"):
+        if pieces.get("use_regex") and not pieces.get("add_prefix_space"):
+            return "before"
     if pieces.get("type") == "Sequence":
         first = pieces["pretokenizers"][0]
         drops = first.get("type") == "Split" and first.get("behavior") == "Removed"
-        if drops and first.get("invert") and r"[^\s\p{L}\p{N}]+" in str(first["pattern"]):
-            return _WITHOUT_SPACE, False
-    return None, False
+        pattern = first.get("pattern", {}).get("Regex", "")
+        if drops and first.get("invert") and pattern.endswith(r"|[^\s\p{L}\p{N}]+"):
+            return "at"
+    return None
 
 
-def slices(text: str, size: int = AT_ONCE) -> Iterator[str]:
+def parts(text: str, size: int) -> Iterator[str]:
     """A long text in parts that begin at white space behind a word."""
     start = 0
     while len(text) - start > size:
@@ -57,63 +63,107 @@ def slices(text: str, size: int = AT_ONCE) -> Iterator[str]:
             break
         yield text[start : cut.start()]
         start = cut.start()
-    yield text[start:] if start else text
+    yield text[start:]
 
 
 class Encoder:
-    """Texts to the bytes of their ids, as unsigned little-endian integers."""
+    """Texts to ids, each text's followed by an end id."""
 
-    def __init__(self, path: str, dtype: str) -> None:
+    def __init__(self, path: str, end_id: int) -> None:
         with open(path, encoding="utf-8") as file:
             definition = json.load(file)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         self.tokenizer = Tokenizer.from_file(path)
         # Strings like <|endoftext|> in a text are text, not ends of documents.
         self.tokenizer.encode_special_tokens = True
-        self.dtype = dtype
-        self.cut, self.needs_plain_space = _chunks(definition)
-        self.known: dict[str, bytes] = {}
+        self.dtype = id_type(path, end_id)
+        self.end = np.array([end_id], self.dtype).tobytes()
+        self.cuts = _cuts(definition)
+        self.known: dict[str, bytes] = {_MARK * 2: self.end}
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
+    def _library(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in encoded]
 
-    def _cut_up(self, texts: list[str]) -> list[bytes]:
-        cut = [self.cut(text) for text in texts]
-        unknown = [*set().union(*cut).difference(self.known)]
-        fresh = dict(zip(unknown, self._whole(unknown), strict=True))
+    def _word(self, key: str) -> str:
+        """The text that a word stands for: with the blank before it, if there is one."""
+        if key.startswith(_MARK):
+            return key[1:]
+        return key if self.cuts == "at" or key.startswith("\n") else " " + key
+
+    def _of_words(self, keys: list[str]) -> list[bytes]:
+        unknown = [key for key in keys if key not in self.known]
+        fresh = dict(zip(unknown, self._library([*map(self._word, unknown)]), strict=True))
         if len(self.known) + len(fresh) <= CACHED_WORDS:
             self.known.update(fresh)
-            return [b"".join(map(self.known.__getitem__, chunks)) for chunks in cut]
+            return [*map(self.known.__getitem__, keys)]
         known = self.known
-        return [b"".join([fresh[w] if w in fresh else known[w] for w in c]) for c in cut]
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text, in order."""
-        waiting: list[str] = []
-        size = 0
-        for text in texts:
-            cuttable = self.cut and not (self.needs_plain_space and _OTHER_SPACE.search(text))
-            if not cuttable or len(text) > AT_ONCE:
-                yield from self._cut_up(waiting) if waiting else ()
-                waiting, size = [], 0
-                if cuttable:
-                    yield b"".join(self._cut_up([part])[0] for part in slices(text))
-                else:
-                    yield self._whole([text])[0]
+        return [fresh[key] if key in fresh else known[key] for key in keys]
+
+    def _gathered(self, texts: pa.Array, last: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts that may be cut, and how many each has; ``last`` closes each text."""
+        blank = " " if self.cuts == "at" else " \n"
+        marked = pc.binary_join_element_wise(_MARK, pc.replace_substring(texts, "\n", blank), last, "")
+        split = pc.split_pattern(marked, " ")
+        words = split.values.dictionary_encode()
+        at = words.indices.to_numpy()
+        found = self._of_words(words.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // len(self.end)
+        ids = np.frombuffer(b"".join(found), self.dtype)
+        starts = np.cumsum(sizes) - sizes
+        lengths = sizes[at]
+        ends = np.cumsum(lengths)
+        place = np.repeat(starts[at] - (ends - lengths), lengths)
+        place += np.arange(len(place))
+        first = split.offsets.to_numpy()
+        before = np.concatenate([[0], ends])
+        return ids[place], before[first[1:]] - before[first[:-1]]
+
+    def _alone(self, text: str) -> np.ndarray:
+        """Ids of a text that is long or must not be cut, without the end id."""
+        done = []
+        for part in parts(text, SLICE_BYTES) if self.cuts else [text]:
+            slice_ = pa.array([part])
+            if self._hard(slice_)[0].as_py():
+                done.append(np.frombuffer(self._library([part])[0], self.dtype))
+            else:
+                done.append(self._gathered(slice_, "")[0])
+        return np.concatenate(done)
+
+    def _hard(self, texts: pa.Array) -> pa.Array:
+        if self.cuts is None:
+            return pa.array([True] * len(texts))
+        return pc.match_substring_regex(texts, _HARD if self.cuts == "before" else r"\x00")
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Per slice of ``texts``: the ids of its texts, back to back, and each text's number of ids.
+
+        A NULL text is an empty one. Every text has its end id.
+        """
+        texts = texts.cast(pa.string()).fill_null("")
+        sizes = pc.binary_length(texts).to_numpy()
+        hard = self._hard(texts).to_numpy(zero_copy_only=False) | (sizes > SLICE_BYTES)
+        end = np.frombuffer(self.end, self.dtype)
+        first = 0
+        while first < len(texts):
+            if hard[first]:
+                ids = np.concatenate([self._alone(texts[first].as_py()), end])
+                yield ids, np.array([len(ids)])
+                first += 1
                 continue
-            waiting.append(text)
-            size += len(text)
-            if size >= AT_ONCE:
-                yield from self._cut_up(waiting)
-                waiting, size = [], 0
-        yield from self._cut_up(waiting) if waiting else ()
+            # Up to the next hard text or the slice's size, one text at least.
+            stop = np.flatnonzero(hard[first:])
+            stop = first + int(stop[0]) if len(stop) else len(texts)
+            room = np.searchsorted(np.cumsum(sizes[first:stop]), SLICE_BYTES, "right")
+            stop = first + max(1, int(room))
+            yield self._gathered(texts[first:stop], f" {_MARK}{_MARK}")
+            first = stop
 
 
 @functools.cache
-def encoder(path: str, dtype: str) -> Encoder:
+def encoder(path: str, end_id: int) -> Encoder:
     """One encoder per worker process, with the words it has met."""
-    return Encoder(path, dtype)
+    return Encoder(path, end_id)
 
 
 def id_type(path: str, end_id: int) -> str:
