@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import language, line_dedup, mixing, packing, quality, simhash, token_files
+from waybill.llm import language, licenses, line_dedup, mixing, packing, quality, simhash, token_files
 from waybill.llm.shared import new_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -55,10 +59,12 @@ QUERIES: dict[str, Query] = {
     "op4_packing": op4_packing,
     "op5_quality": op5_quality,
     "op6_line_dedup": op6_line_dedup,
+    "op9_licenses": op9_licenses,
     "op10_language": op10_language,
 }
 
 SQL: dict[str, str] = {
     "op2_mixing": mixing.SQL,
     "op6_line_dedup": line_dedup.SQL,
+    "op9_licenses": licenses.sql(),
 }
