@@ -7,7 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import language, licenses, line_dedup, mixing, packing, quality, simhash, token_files
+from waybill.llm import (
+    language,
+    licenses,
+    line_dedup,
+    mixing,
+    neighbours,
+    packing,
+    quality,
+    simhash,
+    token_files,
+)
 from waybill.llm.shared import new_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +54,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -59,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op4_packing": op4_packing,
     "op5_quality": op5_quality,
     "op6_line_dedup": op6_line_dedup,
+    "op7_neighbours": op7_neighbours,
     "op9_licenses": op9_licenses,
     "op10_language": op10_language,
 }
