@@ -17,6 +17,7 @@ from waybill.llm import (
     quality,
     simhash,
     token_files,
+    toxicity,
 )
 from waybill.llm.shared import new_folder, table
 
@@ -59,6 +60,10 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(vectors, vectors.filter("vec_id % 100 = 0"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -75,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op5_quality": op5_quality,
     "op6_line_dedup": op6_line_dedup,
     "op7_neighbours": op7_neighbours,
+    "op8_toxicity": op8_toxicity,
     "op9_licenses": op9_licenses,
     "op10_language": op10_language,
 }
