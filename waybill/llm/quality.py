@@ -68,14 +68,15 @@ def with_base(docs: DataFrame, text: str = "text") -> DataFrame:
         }
     )
     q = _once(q, "q_lines", lines)
+    q = _once(q, "q_hashes", F.transform("q_words", lambda word: F.xxhash64(word))).drop("q_words")
     windows = F.when(
-        F.size("q_words") >= 3,
+        F.size("q_hashes") >= 3,
         F.expr(
-            "transform(sequence(0, size(q_words) - 3),"
-            " i -> xxhash64(q_words[i], q_words[i + 1], q_words[i + 2]))"
+            "transform(slice(q_hashes, 1, size(q_hashes) - 2),"
+            " (h, i) -> xxhash64(h, q_hashes[i + 1], q_hashes[i + 2]))"
         ),
     ).otherwise(F.array().cast("array<long>"))
-    q = _once(q, "q_windows", windows)
+    q = _once(q, "q_windows", windows).drop("q_hashes")
     q = q.withColumns(
         {
             "n_dup_lines": (F.size("q_lines") - F.size(F.array_distinct("q_lines"))).cast("long"),
@@ -110,20 +111,25 @@ def with_base(docs: DataFrame, text: str = "text") -> DataFrame:
         100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")
     )
     return q.withColumn("base_failed", failed).drop(
-        "q_text", "q_words", "q_lines", "q_windows", "q_mask", "q_shift", "q_numbered", "q_repeated"
+        "q_text", "q_lines", "q_windows", "q_mask", "q_shift", "q_numbered", "q_repeated"
     )
 
 
-def _with_grams(frame: DataFrame, text: str, name: str) -> DataFrame:
-    """``frame`` with the buckets of all n-grams of a text."""
+def _with_tokens(frame: DataFrame, text: str) -> DataFrame:
+    """``frame`` with q_tokens, the hashes of a text's words and marks."""
     found = F.expr(f"regexp_extract_all({text}, '{_GRAM}', 0)".replace("\\", "\\\\"))
-    cut = _once(frame, "q_tokens", F.coalesce(found, F.array().cast("array<string>")))
-    hashed = F.expr(
-        f"""flatten(transform(q_tokens, (t, i) -> if(i = 0, array(pmod(xxhash64(t), {BUCKETS})),
-              array(pmod(xxhash64(t), {BUCKETS}),
-                    pmod(xxhash64(q_tokens[greatest(i - 1, 0)], t), {BUCKETS})))))"""
+    cut = _once(frame, "q_cut", F.coalesce(found, F.array().cast("array<string>")))
+    hashed = F.transform("q_cut", lambda token: F.xxhash64(token))
+    return _once(cut, "q_tokens", hashed).drop("q_cut")
+
+
+def _grams() -> Column:
+    """The buckets of all tokens of q_tokens and of all pairs of neighbours, the first with itself."""
+    return F.expr(
+        f"""concat(transform(q_tokens, h -> int(h & {BUCKETS - 1})),
+              transform(q_tokens, (h, i) -> int(
+                (shiftleft(q_tokens[greatest(i - 1, 0)], 1) ^ h) & {BUCKETS - 1})))"""
     )
-    return cut.withColumn(name, hashed)
 
 
 def trusted_documents(labels: DataFrame, most: int = TRUSTED_DOCUMENTS) -> DataFrame:
@@ -142,9 +148,7 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> list[float]:
     texts = docs.select(F.col("doc_id").alias("q_id"), F.col("text").alias("q_text"))
     joined = texts.join(F.broadcast(marked), F.col("q_id") == F.col("q_trusted"), "left")
     flagged = joined.select("q_text", F.col("q_trusted").isNotNull().cast("long").alias("q_good"))
-    grams = _with_grams(flagged, "q_text", "q_grams").select(
-        "q_good", F.explode("q_grams").alias("bucket")
-    )
+    grams = _with_tokens(flagged, "q_text").select("q_good", F.explode(_grams()).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("q_good").alias("good"))
     raw, good = [1] * BUCKETS, [1] * BUCKETS
     for row in counts.collect():
@@ -162,12 +166,10 @@ def with_score(docs: DataFrame, ratios: list[float], text: str = "text") -> Data
         return docs.withColumn("score", F.lit(0.0))
     # A constant array, which Spark folds once; it has a number per bucket.
     listed = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
-    graded = _once(_with_grams(docs, text, "q_grams"), "q_grams", F.col("q_grams"))
-    total = F.aggregate(
-        "q_grams", F.lit(0.0), lambda s, bucket: s + F.get(listed, bucket.cast("int"))
-    )
-    mean = F.when(F.size("q_grams") > 0, total / F.size("q_grams")).otherwise(0.0)
-    return graded.withColumn("score", mean).drop("q_grams", "q_tokens")
+    total = F.aggregate(_grams(), F.lit(0.0), lambda sum_, bucket: sum_ + F.get(listed, bucket))
+    tokens = F.size("q_tokens")
+    mean = F.when(tokens > 0, total / (2 * tokens)).otherwise(0.0)
+    return _with_tokens(docs, text).withColumn("score", mean).drop("q_tokens")
 
 
 def judge(docs: DataFrame, labels: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
