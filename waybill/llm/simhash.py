@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waybill.llm.shared import ship, staged
@@ -75,19 +75,23 @@ def fingerprints(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """doc_id and bits, the fingerprint as a signed long, of every row."""
+    """doc_id, tie (a hash of the text) and bits, the fingerprint as a signed long, of every row."""
     ship(docs.sparkSession)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(t.as_py(), shingle_words) for t in batch.column("text")]
             bits = pa.array(np.array(found, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), bits], names=["doc_id", "bits"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("tie"), bits], names=["doc_id", "tie", "bits"]
+            )
 
     texts = docs.select(
-        F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
+        F.col(id_column).cast("long").alias("doc_id"),
+        F.xxhash64(text_column).alias("tie"),
+        F.col(text_column).alias("text"),
     )
-    return texts.mapInArrow(compute, "doc_id long, bits long")
+    return texts.mapInArrow(compute, "doc_id long, tie long, bits long")
 
 
 def distances(points: np.ndarray, vantage: np.uint64) -> np.ndarray:
@@ -273,6 +277,18 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def _rooted(docs: DataFrame, shingle_words: int, link_bits: int) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of all rows, and (bits, root) of all fingerprints with the root's smallest id."""
+    each = staged(fingerprints(docs, shingle_words), "fingerprints")
+    distinct = staged(each.groupBy("bits").agg(F.min("doc_id").alias("first_id")), "distinct")
+    roots = components(linked_edges(docs.sparkSession, distinct, link_bits))
+    of_root = distinct.join(roots, distinct["bits"] == roots["node"], "left").select(
+        "bits", "first_id", F.coalesce("root", "bits").alias("root")
+    )
+    smallest = of_root.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return each, of_root.select("bits", "root").join(smallest, "root")
+
+
 def near_duplicates(
     docs: DataFrame, shingle_words: int = SHINGLE_WORDS, link_bits: int = LINK_BITS
 ) -> DataFrame:
@@ -281,18 +297,10 @@ def near_duplicates(
     ``component_id`` is the smallest doc_id that links reach, the row's own
     included. Rows of equal or NULL doc_id are rows like others; a component
     in which every id is NULL has none. Empty and NULL texts have fingerprint
-    zero and link like any other.
+    zero and link like any other. No rows give none.
     """
-    spark = docs.sparkSession
-    each = staged(fingerprints(docs, shingle_words), "fingerprints")
-    distinct = staged(each.groupBy("bits").agg(F.min("doc_id").alias("first_id")), "distinct")
-    roots = components(linked_edges(spark, distinct, link_bits))
-    of_root = distinct.join(roots, distinct["bits"] == roots["node"], "left").select(
-        "bits", "first_id", F.coalesce("root", "bits").alias("root")
-    )
-    named = of_root.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = of_root.select("bits", "root").join(named, "root").select("bits", "component_id")
-    return each.join(named, "bits").select(
+    each, rooted = _rooted(docs, shingle_words, link_bits)
+    return each.join(rooted, "bits").select(
         "doc_id",
         F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"),
         "component_id",
@@ -302,12 +310,21 @@ def near_duplicates(
 def without_near_duplicates(
     docs: DataFrame, shingle_words: int = SHINGLE_WORDS, link_bits: int = LINK_BITS
 ) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the one of the smallest doc_id.
+    """The rows of ``docs`` that stay: one of each component, with all columns.
 
-    Of several rows with that id, or of rows without one, the first by the
-    hash of its text stays.
+    It is the row of the smallest doc_id, NULL last; of several such rows the
+    first by a hash of its text, and one of those that are equal in both.
     """
-    first = near_duplicates(docs, shingle_words, link_bits).filter(
-        F.col("doc_id").eqNullSafe(F.col("component_id"))
-    )
-    return docs.join(first.select("doc_id").distinct(), "doc_id", "left_semi")
+    each, rooted = _rooted(docs, shingle_words, link_bits)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tie")).alias("first")
+    stays = each.join(rooted, "bits").groupBy("root").agg(first)
+    stays = stays.select(
+        F.col("first.doc_id").alias("stay_id"), F.col("first.tie").alias("stay_tie")
+    ).distinct()
+    row = F.struct(*map(F.col, docs.columns)).alias("row")
+    named = docs.select(F.col("doc_id").alias("row_id"), F.xxhash64("text").alias("row_tie"), row)
+    same = F.col("row_id").eqNullSafe(F.col("stay_id")) & (F.col("row_tie") == F.col("stay_tie"))
+    # Spark keeps one row per task and key before it shuffles for this.
+    one = Window.partitionBy("row_id", "row_tie").orderBy("row_tie")
+    kept = named.join(stays, same, "left_semi").withColumn("place", F.row_number().over(one))
+    return kept.filter("place = 1").select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
