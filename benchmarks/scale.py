@@ -1,18 +1,18 @@
 """Compares ways of computing the ten reports on enlarged test tables.
 
-    python benchmarks/scale.py [COPIES] [FOLDER]
+    python benchmarks/scale.py COPIES FOLDER
 
 writes COPIES shifted copies of the order lines as trips (a third of them in
 one pick-up zone) below FOLDER once, and prints seconds per variant. UI off,
-best of two runs, results collected.
+best of two runs, results collected; all variants must give the same reports.
 """
 
 from __future__ import annotations
 
 import os
 import sys
-import tempfile
 import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +28,8 @@ from waybill.schema import TIME_PREFIX  # noqa: E402
 from waybill.sources import lineitem  # noqa: E402
 from waybill.sources.parquet import read_trips, read_zones  # noqa: E402
 
+Results = list[list]
+
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 
@@ -81,52 +83,52 @@ def main(copies: int, folder: str) -> None:
     early = [r for r in reports.REPORTS if r.scope != reports.VALID]
     late = [r for r in reports.REPORTS if r.scope == reports.VALID]
 
-    def shared_scan() -> None:
-        path = f"{tempfile.mkdtemp(prefix='scale-')}/summary"
+    def shared_scan() -> Results:
+        path = f"{folder}/summary-{uuid.uuid4().hex}"
         summary.summarize(normalize_all(raw)).write.partitionBy(summary.SLICE).parquet(path)
-        for report in reports.REPORTS:
+        return [
             summary.report_from_summary(report, spark.read.parquet(path), zones).collect()
+            for report in early + late
+        ]
 
-    def scan_per_report() -> None:
-        for report in reports.REPORTS:
+    def scan_per_report() -> Results:
+        return [
             reports.build(report, clean_trips(canonical_trips(raw)), zones).collect()
+            for report in early + late
+        ]
 
-    def persisted() -> None:
+    def persisted() -> Results:
         clean = clean_trips(canonical_trips(raw))
         valid = valid_trips(clean).persist()
-        for report in early:
-            reports.build(report, clean, zones).collect()
-        for report in late:
-            group(report, valid, zones).collect()
+        first = [reports.build(report, clean, zones).collect() for report in early]
+        second = [group(report, valid, zones).collect() for report in late]
         valid.unpersist(blocking=True)
+        return first + second
 
-    def plain_expressions() -> None:
+    def plain_expressions() -> Results:
         clean = clean_trips(canonical_trips(raw))
-        for report in early:
-            reports.build(report, clean, zones).collect()
-        for report in late:
-            group(report, plain_valid(clean), zones).collect()
+        first = [reports.build(report, clean, zones).collect() for report in early]
+        return first + [group(report, plain_valid(clean), zones).collect() for report in late]
 
-    variants: tuple[Callable[[], None], ...] = (
+    variants: tuple[Callable[[], Results], ...] = (
         shared_scan,
         scan_per_report,
         persisted,
         plain_expressions,
     )
     print(f"{canonical_trips(raw).count()} trips, {CPUS} threads")
+    results = {}
     for variant in variants:
         seconds = []
         for _ in range(2):
             start = time.perf_counter()
-            variant()
+            results[variant] = [sorted(rows, key=str) for rows in variant()]
             seconds.append(time.perf_counter() - start)
+        if results[variant] != results[shared_scan]:
+            raise SystemExit(f"{variant.__name__} gives other reports")
         print(f"{variant.__name__}: {min(seconds):.1f} s", flush=True)
     spark.stop()
 
 
 if __name__ == "__main__":
-    arguments = sys.argv[1:]
-    main(
-        int(arguments[0]) if arguments else 100,
-        arguments[1] if len(arguments) > 1 else tempfile.mkdtemp(prefix="scale-"),
-    )
+    main(int(sys.argv[1]), sys.argv[2])

@@ -4,7 +4,23 @@ from __future__ import annotations
 
 import re
 
-_HALF_UP = re.compile(r"half_up\((.*?), 2\)")
+_HALF_UP = re.compile(r"half_up\((sum|avg)\((\w+)\)(?: / (\d+))?, 2\)")
+
+# The measures of the reports.
+_MEASURES = (
+    "total_amount",
+    "fare_amount",
+    "tip_amount",
+    "tolls_amount",
+    "congestion_surcharge",
+    "trip_distance",
+    "avg_speed_mph",
+    "trip_duration_min",
+)
+_MEASURE_SUMS = ", ".join(
+    f"CAST(sum(CAST({m} AS DECIMAL(38, 6))) * 1000000 AS BIGINT) AS {m}, count({m}) AS {m}_n"
+    for m in _MEASURES
+)
 
 _RELATIONS = """
 WITH shipped AS (
@@ -38,12 +54,12 @@ raw_trips AS (
 ),
 trips AS (SELECT * FROM raw_trips WHERE service_type IS NOT NULL),
 zones AS (
-  SELECT CAST(s_suppkey AS INT) AS "LocationID", r_name AS "Borough",
+  SELECT CAST(s_suppkey + CASE WHEN s_suppkey % 10 = 3 THEN 1000000 ELSE 0 END AS INT)
+           AS "LocationID", r_name AS "Borough",
          s_name AS "Zone", n_name AS service_zone
   FROM supplier
   JOIN nation ON s_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey
-  WHERE s_suppkey % 10 <> 3
 ),
 clean AS (
   SELECT * REPLACE (coalesce(payment_type, 0) AS payment_type)
@@ -133,9 +149,8 @@ OPERATORS = {
     "scan_green": _scan("green", "lpep_"),
     "scan_yellow": _scan("yellow", "tpep_"),
     "scan_zones": "SELECT * FROM zones",
-    "row_counts": """SELECT 'green' AS relation, count(*) AS row_count
-FROM trips WHERE service_type = 'green'
-UNION ALL SELECT 'yellow', count(*) FROM trips WHERE service_type = 'yellow'
+    "row_counts": """SELECT service_type AS relation, count(*) AS row_count
+FROM trips GROUP BY service_type
 UNION ALL SELECT 'union', count(*) FROM trips""",
     "sink_roundtrip": _FARES,
     "normalize_green": f"SELECT {_CANONICAL} FROM trips WHERE service_type = 'green'",
@@ -158,40 +173,55 @@ LEFT JOIN zones z ON t."PULocationID" = z."LocationID" """,
 LEFT JOIN zones z ON t."DOLocationID" = z."LocationID" """,
     "round_half_up": """SELECT l_orderkey, l_linenumber,
   round(l_extendedprice / 7, 2) AS rounded FROM lineitem""",
-    "trip_summary": """, keyed AS (
+    "trip_summary": f""", timed_raw AS (
+  SELECT *, round((epoch_us(dropoff_datetime) // 1000000
+                   - epoch_us(pickup_datetime) // 1000000) / 60, 2) AS trip_duration_min
+  FROM trips
+), keyed AS (
   SELECT service_type, coalesce(payment_type, 0) AS payment_type, "RatecodeID",
     CAST(year(pickup_datetime) AS INTEGER) AS year,
     pickup_datetime >= TIMESTAMP '2020-01-01 00:00:00' AS recent,
     "PULocationID", "DOLocationID",
     CAST(hour(pickup_datetime) AS INTEGER) AS hour,
     CAST(isodow(pickup_datetime) - 1 AS INTEGER) AS weekday,
-    coalesce("RatecodeID" <> 99 AND minutes > 0 AND minutes < 300
-      AND round(trip_distance / nullif(minutes / 60, 0), 2) < 100, FALSE) AS valid,
-    total_amount, trip_distance
-  FROM (SELECT *, round((epoch_us(dropoff_datetime) // 1000000
-                         - epoch_us(pickup_datetime) // 1000000) / 60, 2) AS minutes FROM trips)
+    round(trip_distance / nullif(trip_duration_min / 60, 0), 2) AS avg_speed_mph,
+    coalesce("RatecodeID" <> 99 AND trip_duration_min > 0 AND trip_duration_min < 300
+      AND round(trip_distance / nullif(trip_duration_min / 60, 0), 2) < 100, FALSE) AS valid,
+    total_amount, fare_amount, tip_amount, tolls_amount, congestion_surcharge, trip_distance,
+    trip_duration_min
+  FROM timed_raw
+), grouped AS (
+  SELECT service_type, valid, payment_type, "RatecodeID", year, recent, "PULocationID",
+    "DOLocationID", hour, weekday,
+    CASE WHEN grouping(payment_type) = 0 THEN 'codes'
+         WHEN grouping("PULocationID") = 0 THEN 'pickup'
+         WHEN grouping("DOLocationID") = 0 THEN 'dropoff' ELSE 'clock' END AS slice,
+    count(*) AS trip_rows, {_MEASURE_SUMS}
+  FROM keyed GROUP BY GROUPING SETS (
+    (service_type, valid, payment_type, "RatecodeID", year, recent),
+    (service_type, valid, "PULocationID"), (service_type, valid, "DOLocationID"),
+    (service_type, valid, hour, weekday))
 )
-SELECT service_type, valid, payment_type, "RatecodeID", year, recent, "PULocationID",
-  "DOLocationID", hour, weekday,
-  CASE WHEN grouping(payment_type) = 0 THEN 'codes'
-       WHEN grouping("PULocationID") = 0 THEN 'pickup'
-       WHEN grouping("DOLocationID") = 0 THEN 'dropoff' ELSE 'clock' END AS slice,
-  count(*) AS trip_rows, round(sum(total_amount), 2) AS total_amount,
-  round(sum(trip_distance), 2) AS trip_distance
-FROM keyed GROUP BY GROUPING SETS (
-  (service_type, valid, payment_type, "RatecodeID", year, recent),
-  (service_type, valid, "PULocationID"), (service_type, valid, "DOLocationID"),
-  (service_type, valid, hour, weekday))""",
+SELECT * FROM grouped WHERE slice = 'codes' OR valid""",
 }
 
 
-def _spell_out(sql: str) -> str:
-    """Replace half_up(x, 2) by DuckDB's decimal rounding.
+def _exact(match: re.Match) -> str:
+    """Half-up rounding of an exact total or mean, in whole numbers only.
 
     ROUND on a DOUBLE works on its binary value there and takes 14.215 for a
-    little less; the digits beyond the eighth hold the noise of the summation.
+    little less, so amounts are added as decimals and rounded as integers.
     """
-    return _HALF_UP.sub(r"CAST(round(CAST(\1 AS DECIMAL(38, 8)), 2) AS DOUBLE)", sql)
+    aggregate, measure, per = match.groups()
+    total = f"CAST(sum(CAST({measure} AS DECIMAL(38, 6))) * 1000000 AS HUGEINT)"
+    parts = f"count({measure})" if aggregate == "avg" else (per or "1")
+    unit = f"({parts} * 10000)"
+    return f"CAST(sign({total}) * ((2 * abs({total}) + {unit}) // (2 * {unit})) AS DOUBLE) / 100"
+
+
+def _spell_out(sql: str) -> str:
+    """Replace half_up(sum(x), 2), half_up(sum(x) / n, 2) and half_up(avg(x), 2)."""
+    return _HALF_UP.sub(_exact, sql)
 
 
 # Report directory, grouping keys and metrics of each report.
@@ -261,5 +291,6 @@ def _job_reports() -> str:
 
 def statements() -> dict[str, str]:
     shared = {f"shared_{name}": sql for name, sql in REPORTS.items()}
-    every = {**OPERATORS, "job_reports": _job_reports(), **REPORTS, **shared}
+    written = {"job_reports": _job_reports(), "job_mixed_types": _job_reports()}
+    every = {**OPERATORS, **written, **REPORTS, **shared}
     return {name: _RELATIONS + _spell_out(sql) for name, sql in every.items()}

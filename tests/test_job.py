@@ -48,8 +48,10 @@ def test_job_writes_ten_reports_and_replaces_them(spark, inputs, tmp_path):
     for shared in (True, False):
         output = str(tmp_path / str(shared))
         for _ in range(2):
-            outputs[shared] = job.run(spark, **inputs, output=output + "/", shared_scan=shared)
-        assert {name for name in os.listdir(output) if name[0] not in "._"} == DIRECTORIES
+            outputs[shared] = job.run(
+                spark, **inputs, output=output + "/", shared_scan=shared, staging=f"{tmp_path}/s"
+            )
+        assert {name for name in os.listdir(output) if name[0] != "."} == DIRECTORIES
     for report in reports.REPORTS:
         first, second = (rows(spark, outputs[shared][report.name]) for shared in (True, False))
         assert first == second
@@ -60,21 +62,44 @@ def listing(folder):
     return set(os.listdir(folder)) if os.path.isdir(folder) else set()
 
 
-def test_summary_is_staged_in_the_checkpoint_folder(spark, inputs, tmp_path):
-    folder = spark.conf.get(job.CHECKPOINT_SETTING, None) or str(tmp_path)
-    before = listing(folder)
-    job.run(spark, **inputs, output=str(tmp_path))
-    (staged,) = {name for name in listing(folder) - before if name.startswith("_trip_summary")}
-    slices = {name for name in listing(f"{folder}/{staged}") if name.startswith("slice=")}
+def test_summary_is_staged_in_the_given_folder(spark, inputs, tmp_path):
+    job.run(spark, **inputs, output=str(tmp_path / "out"), staging=str(tmp_path / "staging"))
+    (staged,) = (name for name in listing(tmp_path / "staging") if name[0] != ".")
+    slices = {name for name in listing(tmp_path / "staging" / staged) if name.startswith("slice=")}
     assert slices == {"slice=codes", "slice=pickup", "slice=dropoff", "slice=clock"}
 
 
-@pytest.mark.parametrize("setting", [None, "shared"])
-def test_command_line(inputs, tmp_path, setting):
-    """The summary goes to the checkpoint folder if one is set, else to the output path."""
-    conf = "" if setting is None else f"--conf spark.checkpoint.dir={tmp_path}/{setting}"
+def test_staging_folder(spark):
+    default = spark.conf.get(job.CHECKPOINT_SETTING, None)
+    if default:
+        assert job.staging_folder(spark, None, "/out") == default
+    else:
+        with pytest.raises(ValueError, match="shared staging folder"):
+            job.staging_folder(spark, None, "/out")
+    assert job.staging_folder(spark, "/outer", "/out") == "/outer"
+    for inside in ("/out", "/out/", "/out/tmp"):
+        with pytest.raises(ValueError, match="lies in the output"):
+            job.staging_folder(spark, inside, "/out")
+
+
+def test_raw_counts_are_logged_both_ways(spark, inputs, tmp_path, caplog):
+    for shared in (True, False):
+        caplog.clear()
+        with caplog.at_level("INFO", logger=job.log.name):
+            job.run(
+                spark, **inputs, output=f"{tmp_path}/o", shared_scan=shared, staging=f"{tmp_path}/s"
+            )
+        (line,) = (m for m in caplog.messages if m.startswith("trips read"))
+        assert "'green'" in line and "'yellow'" in line and "6000 in all" in line
+
+
+@pytest.mark.parametrize("way", ["option", "setting"])
+def test_command_line(inputs, tmp_path, way):
+    """The summary goes to the staging folder or else to the checkpoint folder."""
+    conf = f"--conf spark.checkpoint.dir={tmp_path}/setting"
     (tmp_path / "conf").mkdir()
     options = [f"--{name}={path}" for name, path in inputs.items()]
+    options += [f"--staging={tmp_path}/option"] if way == "option" else []
     submit = f"--master local[2] --conf spark.ui.enabled=false {conf} pyspark-shell"
     subprocess.run(
         [sys.executable, "-m", "waybill.plans.job", *options, f"--output={tmp_path}/out/"],
@@ -88,7 +113,7 @@ def test_command_line(inputs, tmp_path, setting):
         },
     )
     assert DIRECTORIES <= listing(tmp_path / "out")
-    staged = listing(tmp_path / (setting or "out"))
+    staged = listing(tmp_path / way)
     assert sum(name.startswith("_trip_summary") for name in staged) == 1
 
 
@@ -100,7 +125,7 @@ def test_no_trips_at_all(spark, inputs, tmp_path):
         none.write.parquet(f"{tmp_path}/{service}")
     for shared in (True, False):
         written = job.run(
-            spark, **{**inputs, **empty}, output=f"{tmp_path}/out", shared_scan=shared
+            spark, **{**inputs, **empty}, output=f"{tmp_path}/out", shared_scan=shared, staging=f"{tmp_path}/s"
         )
         assert [rows(spark, path) for path in written.values()] == [[]] * 10
 
@@ -122,7 +147,7 @@ def test_decimal_amounts_and_a_second_number_type(spark, inputs, tmp_path):
     outcomes = []
     for shared in (True, False):
         written = job.run(
-            spark, **{**inputs, **paths}, output=f"{tmp_path}/{shared}", shared_scan=shared
+            spark, **{**inputs, **paths}, output=f"{tmp_path}/{shared}", shared_scan=shared, staging=f"{tmp_path}/s"
         )
         outcomes.append([rows(spark, path) for path in written.values()])
     assert outcomes[0] == outcomes[1]
@@ -133,7 +158,7 @@ def test_decimal_amounts_and_a_second_number_type(spark, inputs, tmp_path):
 def test_failure_reaches_the_caller(spark, inputs, tmp_path):
     broken = {**inputs, "input_zones": str(tmp_path / "missing")}
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        job.run(spark, **broken, output=str(tmp_path))
+        job.run(spark, **broken, output=f"{tmp_path}/o", staging=f"{tmp_path}/s")
 
 
 def test_all_four_paths_are_required(capsys):

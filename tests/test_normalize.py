@@ -9,6 +9,7 @@ from waybill.operators.attributes import with_calendar, with_era
 from waybill.operators.normalize import (
     canonical_trips,
     normalize,
+    normalize_all,
     union_common_columns,
     union_trips,
 )
@@ -73,6 +74,33 @@ def test_union_over_common_columns(spark):
     assert union.count() == 3
 
 
+def test_common_columns_whatever_their_case(spark):
+    both = services(spark)
+    both["green"] = both["green"].withColumn("airport_fee", F.lit(1.0))
+    both["yellow"] = both["yellow"].withColumn("Airport_fee", F.lit(2.0))
+    union = union_common_columns(both)
+    assert "airport_fee" in union.columns
+    assert sorted(r.airport_fee for r in union.collect()) == [1.0, 2.0, 2.0]
+
+
+def test_common_columns_of_different_kinds_are_an_error(spark):
+    both = services(spark)
+    both["yellow"] = both["yellow"].withColumn("payment_type", F.lit("1"))
+    with pytest.raises(SchemaMismatch, match="payment_type: int and string"):
+        union_common_columns(both)
+
+
+def test_services_take_the_types_of_their_union(spark):
+    raw = {
+        "green": trip_rows.raw(spark, {}, service="green", time="timestamp"),
+        "yellow": trip_rows.raw(spark, {}, service="yellow").withColumn("RatecodeID", F.lit(1.0)),
+    }
+    green, yellow = normalize_all(raw).values()
+    assert green.dtypes == yellow.dtypes
+    assert dict(green.dtypes)["pickup_datetime"] == "timestamp"
+    assert dict(green.dtypes)["RatecodeID"] == "double"
+
+
 def test_calendar(spark):
     row = with_calendar(canonical_trips(services(spark))).first()
     assert (row.hour, row.day_of_week, row.year) == (12, "Wednesday", 2021)

@@ -160,9 +160,17 @@ def test_start_date_is_inclusive_and_open_ended(spark):
     assert sorted(kept) == [2020, 2098]
 
 
-def test_row_counts_report_empty_services(spark):
-    counts = {row.relation: row.row_count for row in row_counts(canonical(spark, {}, {})).collect()}
-    assert counts == {"green": 2, "yellow": 0, "union": 2}
+def test_row_counts_name_the_services_that_there_are(spark):
+    trips = canonical(spark, {}, {})
+    other = trips.limit(1).withColumn("service_type", F.lit("blue"))
+    counts = {r.relation: r.row_count for r in row_counts(trips.unionByName(other)).collect()}
+    assert counts == {"green": 2, "blue": 1, "union": 3}
+
+
+def test_speed_cap_can_be_switched_off(spark):
+    trips = canonical(spark, {"trip_distance": 9000.0}, {"trip_distance": None}, {"minutes": 0})
+    rules = Rules(max_speed=float("inf"))
+    assert [r.trip_distance for r in valid_trips(trips, rules).collect()] == [9000.0]
 
 
 def test_other_thresholds(spark):

@@ -235,5 +235,73 @@ def test_view_is_replaced(spark, sf_dir):
     assert spark.table("trips").count() == 1
 
 
+def test_building_a_report_leaves_a_view_of_the_user_alone(spark, sf_dir):
+    spark.range(3).createOrReplaceTempView("trips")
+    clean = clean_trips(canonical_trips(services(spark, sf_dir)))
+    assert reports.build(reports.TRIPS_PER_SERVICE, clean).count() == 2
+    assert spark.table("trips").count() == 3
+
+
+def test_services_of_different_types_give_the_same_both_ways(spark):
+    """Zoned times in one service, decimal amounts in both, a clock change on the way."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        case = {"pickup": datetime(2021, 3, 14, 1, 30), "minutes": 120, "trip_distance": 10.0}
+        raw = {
+            "green": trip_rows.raw(spark, case, service="green").withColumns(
+                {
+                    f"lpep_{t}_datetime": F.col(f"lpep_{t}_datetime").cast("timestamp")
+                    for t in ("pickup", "dropoff")
+                }
+            ),
+            "yellow": trip_rows.raw(spark, case, service="yellow"),
+        }
+        amounts = ("total_amount", "fare_amount", "tip_amount")
+        raw = {
+            service: frame.withColumns({a: F.col(a).cast("decimal(10,2)") for a in amounts})
+            for service, frame in raw.items()
+        }
+        zones = spark.createDataFrame([(7, "a")], "LocationID int, Zone string")
+        totals = summary.summarize(normalize_all(raw))
+        for report in reports.REPORTS:
+            direct = reports.build(report, clean_trips(canonical_trips(raw)), zones)
+            shared = summary.report_from_summary(report, totals, zones)
+            assert direct.dtypes == shared.dtypes
+            assert sorted(direct.collect()) == sorted(shared.collect())
+            if report is reports.SPEED_BY_ZONE:
+                assert [tuple(r) for r in shared.collect()] == [(7, 10.0, 60.0, 2)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_large_totals_are_the_same_for_any_partitioning(spark):
+    """Totals near 3e13, where sums of doubles differ in the last cents."""
+    n = 60_000
+    amount = (F.col("id") * 7919 % 100_000_000_000 / 100 + 500_000_000).alias("total_amount")
+    sample = trip_rows.raw(spark, {}).drop("total_amount")
+    outcomes = set()
+    for partitions in (4, 16, 64):
+        ids = spark.range(0, n, numPartitions=partitions).select(amount)
+        green = normalize(ids.crossJoin(sample), "green")
+        totals = summary.summarize({"green": green})
+        for report in (reports.YEARLY_VOLUME, reports.TOP_DROPOFF):
+            zones = spark.createDataFrame([(8, "a")], "LocationID int, Zone string")
+            for frame in (
+                reports.build(report, clean_trips(green), zones),
+                summary.report_from_summary(report, totals, zones),
+            ):
+                outcomes.add(frame.first().total_revenue)
+    assert outcomes == {sum(i * 7919 % 100_000_000_000 + 50_000_000_000 for i in range(n)) / 100}
+
+
+def test_only_the_codes_slice_holds_invalid_trips(spark):
+    trips = normalize(trip_rows.raw(spark, {}, {"minutes": 0}, {"RatecodeID": 99}), "green")
+    rows = summary.summarize({"green": trips}).collect()
+    invalid = [r.slice for r in rows if not r.valid]
+    assert invalid and set(invalid) == {"codes"}
+    assert sum(r.trip_rows for r in rows if r.slice == "pickup") == 1
+
+
 def test_report_keys_cover_all_reports():
     assert list(contract.REPORT_KEYS.values()) == list(reports.REPORTS)

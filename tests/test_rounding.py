@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from waybill.functions.rounding import round_aggregate, round_half_up
+from waybill.functions.rounding import exact_parts, round_half_up, round_total
 
 KEEP_SESSION = settings(
     max_examples=25,
@@ -54,17 +54,42 @@ def test_equals_builtin_on_every_near_tie(spark):
     assert nudged.filter(round_half_up(F.col("x")) != F.round("x", 2)).count() == 0
 
 
-def test_aggregate_rounding_ignores_summation_noise(spark):
-    below, exact = math.nextafter(14.215, 0), 14.215
-    frame = spark.createDataFrame([(below,), (exact,)], "x double")
-    assert {row[0] for row in frame.select(round_aggregate(F.col("x"))).collect()} == {14.22}
+def total_of(spark, values, partitions=1):
+    frame = spark.createDataFrame([(v,) for v in values], "x double").repartition(partitions)
+    sums = [F.sum(part) for part in exact_parts(F.col("x"))]
+    total = round_total(*sums, F.lit(1)).alias("total")
+    return frame.agg(total, round_total(*sums, F.count("x")).alias("mean")).first()
 
 
-def test_aggregate_rounding_is_stable_under_reordering(spark):
+def test_totals_are_rounded_once(spark):
+    assert total_of(spark, [14.214999]).total == 14.21
+    assert total_of(spark, [14.215]).total == 14.22
+    assert total_of(spark, [-14.215]).total == -14.22
+    assert total_of(spark, [14.21, 14.22]).mean == 14.22
+
+
+def test_totals_do_not_depend_on_the_order(spark):
     values = [0.1 * i for i in range(1, 1000)]
     outcomes = set()
     for seed in range(5):
         random.Random(seed).shuffle(values)
-        frame = spark.createDataFrame([(v,) for v in values], "x double").repartition(seed + 1)
-        outcomes.add(frame.agg(round_aggregate(F.avg("x"))).first()[0])
+        outcomes.add(total_of(spark, values, seed + 1).mean)
     assert outcomes == {50.0}
+
+
+def test_totals_of_nothing_and_of_odd_amounts(spark):
+    assert tuple(total_of(spark, [None, None])) == (None, None)
+    assert total_of(spark, [None, 1.5]).mean == 1.5
+    assert total_of(spark, [1e300, 1.0]).total == 1e300
+    assert total_of(spark, [math.inf, 1.0]).mean == math.inf
+    assert math.isnan(total_of(spark, [math.nan, 1.0]).total)
+
+
+@KEEP_SESSION
+@given(st.lists(st.integers(-(10**10), 10**10), min_size=1, max_size=50))
+def test_totals_equal_decimal_arithmetic(spark, cents):
+    values = [c / 100 for c in cents]
+    exact = sum(Decimal(c) / 100 for c in cents)
+    row = total_of(spark, values, 3)
+    assert row.total == float(exact)
+    assert row.mean == float((exact / len(cents)).quantize(Decimal("0.01"), ROUND_HALF_UP)) + 0.0

@@ -45,7 +45,9 @@ def plausible(distance: Column, minutes: Column, rules: Rules = DEFAULT_RULES) -
     exactly the same rows and leaves the rounding to the one report that
     shows speeds.
     """
-    cap = Decimal(str(rules.max_speed)).quantize(Decimal("0.01"), ROUND_CEILING)
+    cap = Decimal(str(rules.max_speed))
+    if cap.is_finite():
+        cap = cap.quantize(Decimal("0.01"), ROUND_CEILING)
     return (
         (minutes > F.lit(float(rules.min_duration)))
         & (minutes < F.lit(float(rules.max_duration)))

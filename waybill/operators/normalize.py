@@ -8,7 +8,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.schema import SERVICE, TRIP_COLUMNS, check_types, source_layout
+from waybill.schema import (
+    SERVICE,
+    TRIP_COLUMNS,
+    check_same_kinds,
+    check_types,
+    source_layout,
+)
 
 
 def normalize(raw: DataFrame, service: str) -> DataFrame:
@@ -24,18 +30,41 @@ def union_trips(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 def union_common_columns(services: Mapping[str, DataFrame]) -> DataFrame:
-    """Bag union of raw relations over the columns that all of them have."""
-    first = next(iter(services.values())).columns
-    common = [c for c in first if all(c in raw.columns for raw in services.values())]
-    tagged = [
-        raw.select(*common, F.lit(service).alias(SERVICE)) for service, raw in services.items()
-    ]
+    """Bag union of raw relations over the columns that all of them have.
+
+    Names are compared as the session resolves them, in upper or lower case
+    alike unless ``spark.sql.caseSensitive`` is set; the spelling of the first
+    service stays. Columns of one name must be of one kind: times, numbers, or
+    else the same type.
+    """
+    spark = next(iter(services.values())).sparkSession
+    exact = spark.conf.get("spark.sql.caseSensitive") == "true"
+
+    def fold(name: str) -> str:
+        return name if exact else name.lower()
+
+    held = [{fold(name): name for name in raw.columns} for raw in services.values()]
+    common = [key for key in held[0] if all(key in names for names in held)]
+    tagged = []
+    for (service, raw), names in zip(services.items(), held):
+        columns = [F.col(f"`{names[key]}`").alias(held[0][key]) for key in common]
+        tagged.append(raw.select(*columns, F.lit(service).alias(SERVICE)))
+    check_same_kinds(tagged)
     return reduce(DataFrame.unionByName, tagged)
 
 
 def normalize_all(services: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Canonical trips of every service, not yet united."""
-    return {service: normalize(raw, service) for service, raw in services.items()}
+    """Canonical trips of every service, not yet united but of the types of their union.
+
+    Whatever is computed per service thus sees the same values as after the
+    union, e.g. zoned times where only one service stores a time zone.
+    """
+    canonical = {service: normalize(raw, service) for service, raw in services.items()}
+    wanted = reduce(union_trips, canonical.values()).schema
+    return {
+        service: trips.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted))
+        for service, trips in canonical.items()
+    }
 
 
 def canonical_trips(services: Mapping[str, DataFrame]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waybill.functions import trip
 from waybill.rules import DEFAULT_RULES, Rules
+from waybill.schema import SERVICE
 
 
 def fill_payment_type(trips: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -52,10 +53,12 @@ def valid_trips(clean: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
 
 
 def row_counts(trips: DataFrame) -> DataFrame:
-    """Rows per service and in total, in one pass that reads no trip column."""
-    counts = trips.agg(
-        F.count_if(F.col("service_type") == "green").alias("green"),
-        F.count_if(F.col("service_type") == "yellow").alias("yellow"),
-        F.count("*").alias("union"),
+    """Rows per service and, as relation ``union``, in all; reads no trip column.
+
+    A service without a trip has no row.
+    """
+    counts = trips.rollup(SERVICE).agg(
+        F.grouping(SERVICE).alias("in_all"), F.count("*").alias("row_count")
     )
-    return counts.unpivot([], ["green", "yellow", "union"], "relation", "row_count")
+    relation = F.when(F.col("in_all") == 1, F.lit("union")).otherwise(F.col(SERVICE))
+    return counts.select(relation.alias("relation"), "row_count")

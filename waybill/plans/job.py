@@ -10,6 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from waybill.operators.normalize import normalize_all, union_trips
 from waybill.operators.quality import clean_trips
@@ -25,25 +26,38 @@ log = logging.getLogger(__name__)
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
-def stage(spark: SparkSession, summary: DataFrame, output: str) -> DataFrame:
-    """Write the summary to shared storage and return it as read back.
+def stage(spark: SparkSession, summary: DataFrame, staging: str) -> DataFrame:
+    """Write the summary below ``staging`` and return it as read back.
 
     The copy outlives any executor, so no report repeats the scan behind it,
-    and each report reads the files of its own slice only. It goes to the
-    checkpoint folder of the cluster or, where none is set, below ``output``.
+    and each report reads the files of its own slice only. It is not removed:
+    the owner of the folder expires it, like checkpoints.
     """
-    folder = spark.conf.get(CHECKPOINT_SETTING, None) or output
-    path = f"{folder.rstrip('/')}/_trip_summary-{uuid.uuid4().hex}"
+    path = f"{staging.rstrip('/')}/_trip_summary-{uuid.uuid4().hex}"
     summary.write.partitionBy(SLICE).parquet(path)
     return spark.read.schema(summary.schema).parquet(path)
 
 
+def staging_folder(spark: SparkSession, staging: str | None, output: str) -> str:
+    """Where intermediate data goes: ``staging`` or else the cluster's checkpoint folder.
+
+    Every executor must see it, and it must not lie in the published output.
+    """
+    folder = staging or spark.conf.get(CHECKPOINT_SETTING, None)
+    if not folder:
+        raise ValueError(f"give a shared staging folder, or set {CHECKPOINT_SETTING}")
+    if f"{folder.rstrip('/')}/".startswith(f"{output.rstrip('/')}/"):
+        raise ValueError(f"the staging folder {folder} lies in the output {output}")
+    return folder
+
+
 def write_reports(
     services: Mapping[str, DataFrame],
     zones: DataFrame,
     output: str,
     rules: Rules = DEFAULT_RULES,
     shared_scan: bool = True,
+    staging: str | None = None,
 ) -> dict[str, str]:
     """Write all reports on raw trips below ``output``; returns name -> directory.
 
@@ -52,13 +66,18 @@ def write_reports(
     """
     spark = zones.sparkSession
     canonical = normalize_all(services)
-    clean = clean_trips(reduce(union_trips, canonical.values()), rules)
+    trips = reduce(union_trips, canonical.values())
+    clean = clean_trips(trips, rules)
     register_trips(clean)
 
     if shared_scan:
-        summary = stage(spark, summarize(canonical, rules), output)
-        counts = {row[SERVICE]: row["row_count"] for row in source_counts(summary).collect()}
-        log.info("trips read: %s, %d in all", counts, sum(counts.values()))
+        folder = staging_folder(spark, staging, output)
+        summary = stage(spark, summarize(canonical, rules), folder)
+        counted = source_counts(summary)
+    else:
+        counted = trips.groupBy(SERVICE).agg(F.count("*").alias("row_count"))
+    counts = {row[SERVICE]: row["row_count"] for row in counted.collect()}
+    log.info("trips read: %s, %d in all", counts, sum(counts.values()))
 
     def write(report: Report) -> tuple[str, str]:
         if shared_scan:
@@ -83,10 +102,16 @@ def run(
     output: str,
     rules: Rules = DEFAULT_RULES,
     shared_scan: bool = True,
+    staging: str | None = None,
 ) -> dict[str, str]:
-    """Read the three Parquet inputs and write all reports below ``output``."""
+    """Read the three Parquet inputs and write all reports below ``output``.
+
+    ``staging`` is a folder that all executors see, outside of ``output``; by
+    default it is the cluster's checkpoint folder.
+    """
     services = {"green": read_trips(spark, input_green), "yellow": read_trips(spark, input_yellow)}
-    return write_reports(services, read_zones(spark, input_zones), output, rules, shared_scan)
+    zones = read_zones(spark, input_zones)
+    return write_reports(services, zones, output, rules, shared_scan, staging)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -94,6 +119,7 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Write the ten trip reports")
     for option in ("input_green", "input_yellow", "input_zones", "output"):
         parser.add_argument(f"--{option}", required=True, metavar="PATH")
+    parser.add_argument("--staging", metavar="PATH", help="shared folder for intermediate data")
     paths = vars(parser.parse_args(argv))
     logging.basicConfig(level=logging.INFO)
     with SparkSession.builder.appName("waybill").getOrCreate() as spark:

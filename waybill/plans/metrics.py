@@ -2,7 +2,8 @@
 
 Every metric of the reports is a row count, a total or a mean, so it can be
 taken straight from trips (``over_trips``) or merged from the sums and counts
-of an earlier aggregation (``over_totals``). Both give the same value.
+of an earlier aggregation (``over_totals``). Both give the same value and type:
+counts are long, totals and means double, whatever number type a source uses.
 """
 
 from __future__ import annotations
@@ -13,20 +14,32 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from waybill.functions.rounding import round_aggregate
+from waybill.functions.rounding import exact_parts, round_total
 
 ROWS = "trip_rows"
 
+# What is kept of a measure: the three sums of ``exact_parts`` and a count.
+PARTS = ("whole", "millionths", "double")
+
 
 def partial_totals(measures: Iterable[str]) -> list[Column]:
-    """The row count, and a sum and a non-NULL count for every measure."""
+    """The row count, and exact sums and a non-NULL count for every measure."""
     totals = [F.count("*").alias(ROWS)]
     for measure in measures:
-        totals.append(F.sum(measure).alias(f"{measure}_sum"))
+        for part, value in zip(PARTS, exact_parts(F.col(measure))):
+            totals.append(F.sum(value).alias(f"{measure}_{part}"))
         totals.append(F.count(measure).alias(f"{measure}_n"))
     return totals
 
 
+def _sums(measure: str) -> list[Column]:
+    return [F.sum(value) for value in exact_parts(F.col(measure))]
+
+
+def _merged(measure: str) -> list[Column]:
+    return [F.sum(f"{measure}_{part}") for part in PARTS]
+
+
 @dataclass(frozen=True)
 class Rows:
     name: str
@@ -45,14 +58,10 @@ class Total:
     per: int = 1
 
     def over_trips(self) -> Column:
-        return self._shown(F.sum(self.measure))
+        return round_total(*_sums(self.measure), F.lit(self.per)).alias(self.name)
 
     def over_totals(self) -> Column:
-        return self._shown(F.sum(f"{self.measure}_sum"))
-
-    def _shown(self, total: Column) -> Column:
-        scaled = total if self.per == 1 else total / self.per
-        return round_aggregate(scaled).alias(self.name)
+        return round_total(*_merged(self.measure), F.lit(self.per)).alias(self.name)
 
 
 @dataclass(frozen=True)
@@ -61,8 +70,8 @@ class Mean:
     measure: str
 
     def over_trips(self) -> Column:
-        return round_aggregate(F.avg(self.measure)).alias(self.name)
+        return round_total(*_sums(self.measure), F.count(self.measure)).alias(self.name)
 
     def over_totals(self) -> Column:
-        total, present = F.sum(f"{self.measure}_sum"), F.sum(f"{self.measure}_n")
-        return round_aggregate(F.try_divide(total, present)).alias(self.name)
+        present = F.sum(f"{self.measure}_n")
+        return round_total(*_merged(self.measure), present).alias(self.name)

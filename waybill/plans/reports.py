@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.functions import calendar
@@ -21,6 +21,8 @@ from waybill.rules import DEFAULT_RULES, Rules
 
 TRIPS_VIEW = "trips"
 
+# Fixed values below: names of reports, metrics and columns, and the orders.
+
 RECENT = "recent"  # clean trips from the start date on
 CLEAN = "clean"  # clean trips
 VALID = "valid"  # clean trips of plausible duration and speed
@@ -175,12 +177,13 @@ def register_trips(clean: DataFrame) -> None:
     clean.createOrReplaceTempView(TRIPS_VIEW)
 
 
-def trips_per_service(spark: SparkSession, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """The first report as SQL over the registered trips."""
-    return spark.sql(
-        f"SELECT service_type, count(*) AS total_trips FROM {TRIPS_VIEW}"
+def trips_per_service(trips: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """The first report, as SQL over clean trips; leaves the session's views alone."""
+    return trips.sparkSession.sql(
+        "SELECT service_type, count(*) AS total_trips FROM {trips}"
         " WHERE pickup_datetime >= :since GROUP BY service_type",
         args={"since": rules.since},
+        trips=trips,
     )
 
 
@@ -209,8 +212,7 @@ def build(
 ) -> DataFrame:
     """Compute a report from clean trips."""
     if report.scope == RECENT:
-        register_trips(clean)
-        return trips_per_service(clean.sparkSession, rules)
+        return trips_per_service(clean, rules)
     trips = valid_trips(clean, rules) if report.scope == VALID else clean
     groups = (
         with_keys(trips, report.by, rules)

@@ -5,7 +5,8 @@ one reads the sources ten times; caching the trips would need room for the
 whole input. Instead one ``GROUPING SETS`` aggregation per service keeps
 partial totals for each slice of the keys. Trips are reduced inside the scan
 tasks, so what is shuffled is at most one row per task and distinct key,
-however unevenly trips spread over the keys.
+however unevenly trips spread over the keys. Only the slice of codes serves
+reports on clean trips; the other slices hold valid trips alone.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ SLICES = {
     "clock": ("hour", "weekday"),
 }
 SLICE = "slice"
+CODES = "codes"
 
 
 def slice_of(report: Report) -> str:
@@ -60,9 +62,11 @@ def summarize_service(
 ) -> DataFrame:
     """Partial totals per slice, from the canonical trips of one service.
 
-    Only the slices and measures that ``reports`` need are kept. Rows that
-    cleaning would drop stay in, told apart by their rate code and the
-    validity flag, so that raw row counts come out of the same scan.
+    Only the slices and measures that ``reports`` need are kept. In the slice
+    of codes, rows that cleaning would drop stay in, told apart by their rate
+    code and the validity flag, so that raw row counts come out of the same
+    scan. In the other slices, invalid trips share one group per task, which
+    is dropped in the end.
     """
     reports = tuple(reports)
     slices = list(dict.fromkeys(map(slice_of, reports)))
@@ -77,12 +81,14 @@ def summarize_service(
     flagged = derived.withColumns(
         {VALID: F.coalesce(accepted, F.lit(False)), RECENT: F.coalesce(recent, F.lit(False))}
     )
+    keyed = with_keys(flagged, keys)
+    of_valid = [key for name in slices if name != CODES for key in SLICES[name]]
+    keyed = keyed.withColumns({key: F.when(F.col(VALID), F.col(key)) for key in of_valid})
     sets = [[F.col(VALID), *map(F.col, SLICES[name])] for name in slices]
-    return (
-        with_keys(flagged, keys)
-        .groupingSets(sets, *map(F.col, keys))
-        .agg(_slice_name(keys, slices).alias(SLICE), *partial_totals(measures))
+    totals = keyed.groupingSets(sets, *map(F.col, keys)).agg(
+        _slice_name(keys, slices).alias(SLICE), *partial_totals(measures)
     )
+    return totals.filter((F.col(SLICE) == CODES) | F.col(VALID))
 
 
 def summarize(
@@ -121,5 +127,5 @@ def report_from_summary(
 
 def source_counts(summary: DataFrame) -> DataFrame:
     """Raw rows per service."""
-    codes = summary.filter(F.col(SLICE) == "codes")
+    codes = summary.filter(F.col(SLICE) == CODES)
     return codes.groupBy(SERVICE).agg(F.sum(ROWS).alias("row_count"))

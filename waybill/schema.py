@@ -2,28 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from types import MappingProxyType
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # Canonical column names and order.
-TIME_COLUMNS = ("pickup_datetime", "dropoff_datetime")
-CODE_COLUMNS = ("payment_type", "RatecodeID")
-AMOUNT_COLUMNS = (
+TRIP_COLUMNS = (
+    "pickup_datetime",
+    "dropoff_datetime",
+    "payment_type",
+    "RatecodeID",
     "total_amount",
     "fare_amount",
     "tip_amount",
     "tolls_amount",
     "congestion_surcharge",
     "trip_distance",
+    "PULocationID",
+    "DOLocationID",
+    "service_type",
 )
-ZONE_COLUMNS = ("PULocationID", "DOLocationID")
 SERVICE = "service_type"
-
-SHARED_COLUMNS = CODE_COLUMNS + AMOUNT_COLUMNS + ZONE_COLUMNS
-TRIP_COLUMNS = TIME_COLUMNS + SHARED_COLUMNS + (SERVICE,)
+# The two times have a prefix in each source; all others are named alike.
+TIME_COLUMNS = ("pickup_datetime", "dropoff_datetime")
+SHARED_COLUMNS = tuple(c for c in TRIP_COLUMNS if c not in (*TIME_COLUMNS, SERVICE))
 
 # The prefix each service puts before its two time columns.
 TIME_PREFIX = MappingProxyType({"green": "lpep_", "yellow": "tpep_"})
@@ -59,3 +63,23 @@ def check_types(trips: DataFrame) -> DataFrame:
     if wrong:
         raise SchemaMismatch("unusable trip columns: " + ", ".join(wrong))
     return trips
+
+
+def check_same_kinds(relations: Sequence[DataFrame]) -> None:
+    """Raise if columns of the same name cannot be united without a guess."""
+
+    def kind(field: T.StructField) -> str:
+        if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+            return "time"
+        if isinstance(field.dataType, T.NumericType):
+            return "number"
+        return field.dataType.simpleString()
+
+    wrong = []
+    for name in relations[0].columns:
+        fields = [relation.schema[name] for relation in relations]
+        kinds = {kind(field) for field in fields} - {"void"}
+        if len(kinds) > 1:
+            wrong.append(f"{name}: " + " and ".join(f.dataType.simpleString() for f in fields))
+    if wrong:
+        raise SchemaMismatch("columns of different kinds: " + ", ".join(wrong))
