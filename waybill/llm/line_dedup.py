@@ -78,6 +78,8 @@ def lost_lines(
         .filter(F.col("documents") >= least_documents)
         .select("high", "low", "keeper")
     )
+    # Stored first: a join beside the grouping could not split a line that very many share.
+    shared = staged(shared, "shared-lines")
     losing = held.join(shared, ["high", "low"]).filter(F.col("doc_id") != F.col("keeper"))
     return losing.groupBy(F.col("doc_id").alias("lost_id")).agg(
         F.collect_set(F.struct("high", "low")).alias("lost")
