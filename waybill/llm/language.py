@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waybill.llm.shared import is_held_out, ship
+from waybill.llm.shared import first_by_hash, is_held_out, ship
 
 DOCUMENTS_EACH = 500
 DICTIONARY_BYTES = 112 << 10
@@ -46,19 +46,25 @@ def dictionaries(
 ) -> dict[str, bytes]:
     """Dictionary content per language, the most frequent first, from rows of text and lang."""
     known = learning.filter("lang IS NOT NULL AND text IS NOT NULL")
-    place = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    chosen = (
-        known.select("doc_id", "lang", F.substring("text", 1, size).alias("text"))
-        .withColumn("place", F.row_number().over(place))
-        .filter(F.col("place") <= documents_each)
+    chosen = first_by_hash(known.select("doc_id", "lang").distinct(), "lang", "doc_id", documents_each)
+    wanted = chosen.select(
+        F.col("doc_id").alias("wanted_id"), F.col("lang").alias("wanted_lang"), "place"
     )
+    # Bounded by documents_each and the number of languages.
+    texts = known.join(
+        F.broadcast(wanted), (F.col("doc_id") == F.col("wanted_id")) & (F.col("lang") == F.col("wanted_lang"))
+    ).select("lang", "place", F.substring("text", 1, size).alias("text"))
     # No more than fits is brought to the driver.
-    before = place.rowsBetween(Window.unboundedPreceding, -1)
-    fitting = chosen.withColumn("before", F.sum(F.octet_length("text") + 1).over(before)).filter(
+    before = (
+        Window.partitionBy("lang")
+        .orderBy("place", "text")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    fitting = texts.withColumn("before", F.sum(F.octet_length("text") + 1).over(before)).filter(
         F.coalesce("before", F.lit(0)) < 2 * size
     )
     contents: dict[str, bytes] = {}
-    for lang, text in fitting.orderBy("lang", "place").select("lang", "text").collect():
+    for lang, text in fitting.orderBy("lang", "place", "text").select("lang", "text").collect():
         if found := letters(text):
             contents[lang] = contents.get(lang, b"") + found + b" "
     counts = known.groupBy("lang").count().collect()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word is a run of characters outside of this class.
@@ -71,6 +71,19 @@ def words(text: Column) -> Column:
     return F.filter(split, lambda word: word != "")
 
 
+def first_by_hash(frame: DataFrame, group: str, key: str, most: int, parts: int = 32) -> DataFrame:
+    """Of each group the first ``most`` rows by a hash of ``key``, numbered in ``place``.
+
+    Each group is cut into parts first, so that no task sorts a large one.
+    """
+    order = [F.xxhash64(key), F.col(key)]
+    part = F.pmod(F.xxhash64(key), F.lit(parts))
+    in_part = Window.partitionBy(group, part).orderBy(*order)
+    in_group = Window.partitionBy(group).orderBy(*order)
+    few = frame.withColumn("place", F.row_number().over(in_part)).filter(F.col("place") <= most)
+    return few.withColumn("place", F.row_number().over(in_group)).filter(F.col("place") <= most)
+
+
 def is_held_out(folds: int, fold: int) -> Column:
     """Whether crc32 of doc_id as text modulo ``folds`` is ``fold``; true for a row without an id."""
     checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))

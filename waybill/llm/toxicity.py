@@ -10,8 +10,8 @@ the words of a very short text weigh more than they can tell.
 
 The model is fitted on a bounded sample of the labelled documents: of each
 class the first ``DOCUMENTS_EACH`` by a hash of the id, as far as they hold no
-more than ``WORDS_EACH`` distinct words in all. They come to the driver as word
-counts. Scoring reads every whole text. As both means are linear, a word adds
+more than ``WORDS_EACH`` distinct words in all. They come to the driver one by
+one, as word counts. Scoring reads every whole text. As both means are linear, a word adds
 one number to its document's logit, computed once per distinct word and worker.
 """
 
@@ -21,7 +21,7 @@ import functools
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waybill.llm.shared import SPACE, is_held_out, ship
+from waybill.llm.shared import SPACE, first_by_hash, is_held_out, ship, staged
 
 DOCUMENTS_EACH = 1500
 WORDS_EACH = 500_000
@@ -43,7 +43,7 @@ RARE = 200
 EPOCHS = 60
 RATE, MOMENTUM, DECAY = 1.0, 0.9, 1e-4
 #: Words that a worker remembers.
-CACHED_WORDS = 800_000
+CACHED_WORDS = 400_000
 SLICE_BYTES = 6 << 20
 
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
@@ -72,29 +72,36 @@ class Model:
         return float(self.of_bucket[buckets].mean()) if buckets else 0.0
 
 
-def _matrix(documents: list[tuple[dict[str, int], int]]) -> tuple[np.ndarray, ...]:
-    """Each document's weight of each bucket, as row, bucket and weight by row."""
-    known: dict[str, np.ndarray] = {}
-    rows, buckets, weights = [], [], []
-    for row, (counts, _) in enumerate(documents):
+def _matrix(documents: Iterable[tuple[dict[str, int], int]]) -> tuple[np.ndarray, ...]:
+    """Row, bucket and weight of each bucket in each document, and the classes.
+
+    Documents come one by one, so their words are never held together.
+    """
+    rows, buckets, weights, classes = [], [], [], []
+    for row, (counts, label) in enumerate(documents):
         total = sum(counts.values()) + PADDING
-        hit, share = [np.empty(0, np.int32)], [np.empty(0)]
+        hit, share = [], []
         for word, count in counts.items():
-            if word not in known:
-                known[word] = np.array(grams(word), np.int32)
-            if len(of_word := known[word]):
-                hit.append(of_word)
-                share.append(np.full(len(of_word), count / total / len(of_word)))
-        found, place = np.unique(np.concatenate(hit), return_inverse=True)
+            if of_word := grams(word):
+                hit += of_word
+                share += [count / total / len(of_word)] * len(of_word)
+        found, place = np.unique(np.array(hit, np.int32), return_inverse=True)
         rows.append(np.full(len(found), row, np.int32))
         buckets.append(found)
-        weights.append(np.bincount(place, np.concatenate(share), len(found)).astype(np.float32))
-    return tuple(map(np.concatenate, (rows, buckets, weights)))
+        weights.append(np.bincount(place, share, len(found)).astype(np.float32))
+        classes.append(label)
+    if not classes:
+        return (np.empty(0),) * 4
+    return *map(np.concatenate, (rows, buckets, weights)), np.array(classes, float)
 
 
-def train(documents: list[tuple[dict[str, int], int]], toxic_share: float, seed: int = 7) -> Model:
+def train(
+    documents: Iterable[tuple[dict[str, int], int]], toxic_share: float, seed: int = 7
+) -> Model | None:
     """Fit a model on word counts and classes, by gradients over all documents.
 
+    Without a document of each class there is none.
+
     A softmax over two classes depends on the difference of their weights, so
     that difference is learned. The gradient of every embedding is a multiple
     of it; an epoch therefore needs each bucket's weight in each document once
@@ -102,8 +109,10 @@ def train(documents: list[tuple[dict[str, int], int]], toxic_share: float, seed:
     their mean weight, so that frequent n-grams don't drown the rest.
     ``toxic_share`` is the share of the toxic class in the loss.
     """
-    row, bucket, weight = _matrix(documents)
-    n = len(documents)
+    row, bucket, weight, toxic = _matrix(documents)
+    n = len(toxic)
+    if not 0 < toxic.sum() < n:
+        return None
     common = np.bincount(bucket, minlength=BUCKETS) >= max(2, n // RARE)
     kept = common[bucket]
     row, bucket, weight = row[kept], bucket[kept], weight[kept]
@@ -121,7 +130,6 @@ def train(documents: list[tuple[dict[str, int], int]], toxic_share: float, seed:
     buckets = sorted_bucket[bucket_starts]
     del row, order, sorted_bucket
 
-    toxic = np.array([label for _, label in documents], float)
     shares = np.where(
         toxic == 1, toxic_share / toxic.sum(), (1 - toxic_share) / (n - toxic.sum())
     )
@@ -159,20 +167,16 @@ def learning_words(
     fold: int = 0,
     documents_each: int = DOCUMENTS_EACH,
     words_each: int = WORDS_EACH,
-) -> tuple[list[tuple[dict[str, int], int]], float]:
-    """Word counts and class of a bounded number of documents; the toxic share of all labels."""
+) -> tuple[DataFrame, float]:
+    """(words, toxic, place) of a bounded number of documents; the toxic share of all labels."""
     usable = (
         labels.filter(~is_held_out(folds, fold) & F.col("toxic").isin(0, 1))
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
     seen = {row["toxic"]: row["count"] for row in usable.groupBy("toxic").count().collect()}
-    by_hash = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        usable.withColumn("place", F.row_number().over(by_hash))
-        .filter(F.col("place") <= documents_each)
-        .select(F.col("doc_id").alias("labelled"), "toxic", "place")
-    )
+    chosen = first_by_hash(usable, "toxic", "doc_id", documents_each)
+    chosen = chosen.select(F.col("doc_id").alias("labelled"), "toxic", "place")
     # Bounded by documents_each, two numbers a row.
     texts = docs.select("doc_id", "text").join(
         F.broadcast(chosen), F.col("doc_id") == F.col("labelled")
@@ -185,9 +189,8 @@ def learning_words(
     )
     upto = Window.partitionBy("toxic").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     fitting = words.withColumn("upto", F.sum("n").over(upto)).filter(F.col("upto") <= words_each)
-    rows = fitting.orderBy("toxic", "place").select("words", "toxic").collect()
-    learning = [(row["words"], row["toxic"]) for row in rows]
-    return learning, seen.get(1, 0) / max(1, sum(seen.values()))
+    learning = fitting.select("words", "toxic", "place")
+    return staged(learning, "learning"), seen.get(1, 0) / max(1, sum(seen.values()))
 
 
 @functools.lru_cache(maxsize=2)
@@ -209,9 +212,9 @@ def toxicity(
     spark = docs.sparkSession
     ship(spark)
     learning, share = learning_words(docs, labels, folds, fold)
-    both = len({label for _, label in learning}) == 2
-    # A number per bucket, whatever the input.
-    shared = spark.sparkContext.broadcast(train(learning, share) if both else None)
+    rows = learning.orderBy("toxic", "place").toLocalIterator()
+    model = train(((row["words"], row["toxic"]) for row in rows), share)
+    shared = spark.sparkContext.broadcast(model)  # a number per bucket, whatever the input
     key = uuid.uuid4().hex
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
