@@ -1,0 +1,41 @@
+"""Documents with every oddity, and sorted rows."""
+
+from __future__ import annotations
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+# Names that operators use themselves.
+CLASHING = ("size", "start", "bucket", "lost", "lost_id", "row", "place", "q_text", "mix_id", "words")
+
+LINE = "a line that quite a few documents share"
+LONG = " ".join(f"word{i}" for i in range(6000))
+
+ODD = [
+    (1, "", "en", "a"),
+    (2, None, "en", "a"),
+    (3, f"{LINE}\nbut not this one\n\n{LINE.upper()} ", "en", None),
+    (4, f"  {LINE}\t", None, "b"),
+    (5, f"x\n{LINE}", "de", "b"),
+    (6, "the same text twice, word for word", "en", "a"),
+    (7, "the same text twice, word for word", "en", "c"),
+    (8, "\t \n", "en", "c"),
+    (9, LONG, "en", "c"),
+    (9, LONG, "en", "c"),
+    (10, "é ü ñ 中文   😀\r\nnaïve", "fr", "b"),
+    (None, f"no id\n{LINE}", "en", "a"),
+    (None, None, None, None),
+    (11, "Released under the MIT License.", "en", "a"),
+    (12, "the same text twice, word for word", "en", "c"),
+]
+
+
+def frame(spark, rows):
+    docs = spark.createDataFrame(
+        [(i, t, lang, source, None if t is None else len(t)) for i, t, lang, source in rows], SCHEMA
+    )
+    return docs.selectExpr("*", *(f"'clash' AS {name}" for name in CLASHING))
+
+
+def rows_of(result, *columns):
+    """Rows as sorted tuples, NULLs first."""
+    taken = [tuple(row) for row in (result.select(*columns) if columns else result).collect()]
+    return sorted(taken, key=lambda row: [(v is not None, v) for v in row])

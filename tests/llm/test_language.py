@@ -1,0 +1,66 @@
+from __future__ import annotations
+
+import zlib
+
+from pyspark.sql import functions as F
+
+from llm_support import ODD, frame, rows_of
+from waybill.llm import language
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+    rows = language.identify(docs).collect()
+    assert len(rows) == len(lang)
+    held = [r for r in rows if r.held_out]
+    assert {r.doc_id for r in held} == {i for i in lang if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.97 * len(held)
+    assert all(0 <= r.score <= 1 for r in rows)
+    sure = [r for r in held if r.sure]
+    assert sum(r.lang_pred == lang[r.doc_id] for r in sure) >= 0.99 * len(sure) > 0
+
+
+def test_labels_of_held_out_documents_are_not_read(documents):
+    changed = documents.withColumn(
+        "lang", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, "xx").otherwise(F.col("lang"))
+    )
+    assert rows_of(language.identify(changed)) == rows_of(language.identify(documents))
+
+
+def test_odd_documents(odd, none):
+    rows = language.identify(odd).collect()
+    assert len(rows) == len(ODD)
+    found = {r.doc_id: (r.lang_pred, r.score) for r in rows if r.doc_id is not None}
+    assert {found[i] for i in (1, 2, 8)} == {("und", 0.0)}
+    assert all(r.held_out for r in rows if r.doc_id is None)
+    assert rows_of(language.identify(none)) == []
+
+
+def test_nothing_to_learn_from(odd):
+    unknown = odd.withColumn("lang", F.lit(None).cast("string"))
+    assert {(r.lang_pred, r.score) for r in language.identify(unknown).collect()} == {("und", 0.0)}
+
+
+def test_texts_without_a_letter(spark):
+    judge = language.Judge({"en": b"some words in this language", "de": b"einige andere Worte"}).judge
+    for text in (None, "", "12 ² ½ !?", "\n\t"):
+        assert judge(text) == ("und", 0.0)
+    assert judge("words in this language")[0] == "en"
+    assert judge("EINIGE andere, Worte!")[0] == "de"
+    assert language.Judge({"en": b"words"}).judge("x") == ("en", 1.0)
+    assert judge("q") == ("en", 0.0)  # a tie goes to the first
+
+
+def test_long_texts_count_whole():
+    contents = {"a": b"alpha beta gamma delta " * 50, "b": b"one two three four five " * 50}
+    judge = language.Judge(contents).judge
+    text = "alpha beta gamma delta " * 100 + "one two three four five " * 3000
+    assert judge(text)[0] == "b"
+
+
+def test_dictionaries_are_bounded(spark):
+    rows = [(i, "bravo charlie " * 50, "en" if i % 3 else "de", "s") for i in range(90)]
+    found = language.dictionaries(frame(spark, rows), documents_each=4, size=1000)
+    assert list(found) == ["en", "de"]
+    assert all(len(content) <= 1000 for content in found.values())

@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+
+from llm_support import rows_of
+from waybill.llm import neighbours
+
+SCHEMA = "vec_id long, embedding array<float>, label int, id long, place int, shard int"
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, v, 0, 1, 2, 3) for i, v in rows], SCHEMA)
+
+
+def brute(rows, queries, k=10):
+    found = {}
+    usable = {
+        i: np.array(v, np.float32).astype(float)
+        for i, v in rows
+        if i is not None and v and None not in v and np.isfinite(v).all() and any(v)
+    }
+    for q in queries:
+        if q in usable:
+            near = [
+                (math.sqrt(((v - usable[q]) ** 2).sum()), i)
+                for i, v in usable.items()
+                if i != q and len(v) == len(usable[q])
+            ]
+            found[q] = sorted(near)[:k]
+    return {q: near for q, near in found.items() if near}
+
+
+def answers(frame):
+    found = {}
+    for row in sorted(frame.collect(), key=lambda r: (r.query_id, r.rank)):
+        found.setdefault(row.query_id, []).append((row.score, row.vec_id))
+        assert row.rank == len(found[row.query_id])
+    return found
+
+
+@pytest.mark.parametrize("shard_points", [100, 10_000])
+def test_recall(spark, sf_dir, shard_points):
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in table.collect()]
+    queries = [i for i, _ in rows if i % 20 == 0]
+    got = answers(
+        neighbours.nearest(table, table.filter("vec_id % 20 = 0"), shard_points=shard_points)
+    )
+    want = brute(rows, queries)
+    hits = sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in queries)
+    assert hits >= 0.95 * 10 * len(queries)
+    vector = dict(rows)
+    for q, near in got.items():
+        assert near == sorted(near)
+        for score, i in near:
+            exact = np.array(vector[i], float) - np.array(vector[q], float)
+            assert score == pytest.approx(math.sqrt((exact**2).sum()), rel=1e-14)
+
+
+def test_beam_search_in_a_larger_graph():
+    random = np.random.default_rng(1)
+    points = random.normal(size=(3000, 24))
+    graph = neighbours.Graph(points)
+    assert (graph.edges >= 0).sum(axis=1).max() <= neighbours.DEGREE
+    queries = random.normal(size=(60, 24)).astype(np.float32)
+    found, far = graph.search(queries, 100)
+    exact = ((points[None] - queries[:, None]) ** 2).sum(axis=2).argsort(axis=1)[:, :10]
+    hits = sum(len(set(a) & set(b)) for a, b in zip(exact.tolist(), found[:, :10].tolist()))
+    assert hits >= 0.9 * exact.size
+    assert (np.diff(far, axis=1) >= 0).all()
+
+
+def test_unusable_vectors_take_no_part(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(1, 9)]
+    rows += [(100, None), (101, [0.0, 0.0]), (102, [1.0, None]), (103, [float("nan"), 1.0])]
+    rows += [(104, [float("inf"), 1.0]), (None, [1.0, 1.0]), (105, []), (106, [1.0, 2.0, 3.0])]
+    table = vectors(spark, rows)
+    got = answers(neighbours.nearest(table, table))
+    assert got == brute(rows, [i for i, _ in rows])
+    assert set(got) == set(range(1, 9))
+    assert all(len(near) == 7 for near in got.values())
+
+
+def test_ties_and_copies(spark):
+    """Half of the vectors are the same; the smallest ids come first."""
+    rows = [(i, [1.0, 0.0] if i % 2 else [math.cos(i), math.sin(i)]) for i in range(400)]
+    table = vectors(spark, rows)
+    got = answers(neighbours.nearest(table, table.filter("vec_id % 50 IN (0, 1)"), shard_points=60))
+    for query, near in brute(rows, got).items():
+        assert [i for _, i in got[query]] == [i for _, i in near]
+
+
+def test_repeated_ids_count_once(spark):
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [0.5, 0.0]), (2, [3.0, 0.0])]
+    table = vectors(spark, rows)
+    got = neighbours.nearest(table, table)
+    assert rows_of(got) == [(1, 1, 2, 2.5), (2, 1, 1, 2.5)]
+
+
+def test_few_or_no_vectors(spark):
+    one = vectors(spark, [(0, [1.0, 2.0])])
+    assert neighbours.nearest(one, one).collect() == []
+    none = one.limit(0)
+    assert neighbours.nearest(none, none).collect() == []
+    assert neighbours.nearest(one, none).collect() == []

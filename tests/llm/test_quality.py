@@ -1,0 +1,129 @@
+from __future__ import annotations
+
+import math
+import re
+from collections import Counter
+
+import pytest
+import regex
+
+from llm_support import ODD, frame, rows_of
+from waybill.llm import quality
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+REPEATS = ["a b c a b c", "a b c d a b c d e f", "a a a a", "a a a", "x a b c y a b c a b c", "a b"]
+
+
+def base(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    times, covered = Counter(windows), set()
+    for i, window in enumerate(windows):
+        if times[window] > 1:
+            covered |= {i, i + 1, i + 2}
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    return (
+        len(words),
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        len(lines) - len(set(lines)),
+        len(covered),
+        len(words) < 50 or 100 * len(covered) > 50 * len(words),
+    )
+
+
+NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def check_base(docs):
+    for row in quality.with_base(docs).collect():
+        assert tuple(row[name] for name in NAMES) == base(row.text), row.doc_id
+
+
+def test_base_equals_brute_force(documents):
+    check_base(documents)
+
+
+def test_base_of_odd_documents(spark, odd):
+    check_base(odd)
+    texts = [*REPEATS, " ".join(REPEATS * 9), "ab " * 4000, "a\r\n b\x0bc\x0cd  e"]
+    check_base(frame(spark, [(i, text, "en", "s") for i, text in enumerate(texts)]))
+
+
+def grams(text):
+    tokens = regex.findall(r"[\p{L}\p{N}]+|[^ \t\n\x0b\f\r\p{L}\p{N}]+", text or "")
+    return [(t,) for t in tokens] + [(tokens[max(i - 1, 0)], t) for i, t in enumerate(tokens)]
+
+
+def buckets(spark, grams_):
+    """Bucket of each n-gram, by the hash that Spark has."""
+    tokens = sorted({t for gram in grams_ for t in gram})
+    rows = spark.createDataFrame([(t,) for t in tokens], "t string")
+    hashes = {r.t: r.h for r in rows.selectExpr("t", "xxhash64(t) AS h").collect()}
+    mask = quality.BUCKETS - 1
+    found = {}
+    for gram in grams_:
+        own = hashes[gram[-1]]
+        found[gram] = (own if len(gram) == 1 else (hashes[gram[0]] << 1) ^ own) & mask
+    return found
+
+
+def test_scores_equal_brute_force(spark, documents, labels):
+    documents = documents.limit(60).cache()
+    good = {r.doc_id for r in labels.filter("quality = 1").collect()}
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    held = {i: grams(text) for i, text in texts.items()}
+    bucket = buckets(spark, {g for own in held.values() for g in own})
+    raw, trusted = Counter(), Counter()
+    for i, own in held.items():
+        raw.update(bucket[g] for g in own)
+        if i in good:
+            trusted.update(bucket[g] for g in own)
+    n_raw = sum(raw.values()) + quality.BUCKETS
+    n_trusted = sum(trusted.values()) + quality.BUCKETS
+
+    def score(own):
+        ratio = [
+            math.log((trusted[bucket[g]] + 1) / n_trusted) - math.log((raw[bucket[g]] + 1) / n_raw)
+            for g in own
+        ]
+        return sum(ratio) / len(ratio) if ratio else 0.0
+
+    for row in quality.judge(documents, labels).collect():
+        assert row.score == pytest.approx(score(held[row.doc_id]), abs=1e-9)
+        assert row.kept == (not row.base_failed and row.score >= quality.LEAST_SCORE)
+
+
+def test_verdicts_follow_the_labels(documents, labels):
+    judged = quality.judge(documents, labels).join(labels, "doc_id").filter("NOT base_failed")
+    rows = judged.collect()
+    assert all(r.kept for r in rows if r.quality == 1)
+    assert not any(r.kept for r in rows if r.quality == 0)
+
+
+def test_kept_documents_have_all_columns(documents, labels):
+    docs = documents.selectExpr("*", "1 AS q_text", "2 AS score", "3 AS kept", "4 AS q_row")
+    kept = {r.doc_id for r in quality.judge(documents, labels).filter("kept").collect()}
+    found = quality.kept_documents(docs, labels)
+    assert found.columns == docs.columns
+    assert sorted(r.doc_id for r in found.collect()) == sorted(kept)
+
+
+def test_odd_documents(spark, odd, none, labels):
+    rows = quality.judge(odd, labels).collect()
+    assert len(rows) == len(ODD)
+    assert {r.kept for r in rows if r.doc_id in (1, 2, 8)} == {False}
+    assert rows_of(quality.judge(none, labels)) == []
+
+
+def test_without_trusted_documents_the_base_rules_decide(documents, labels):
+    for row in quality.judge(documents, labels.limit(0)).collect():
+        assert (row.score, row.kept) == (0.0, not row.base_failed)
+
+
+def test_trusted_documents_are_bounded(spark):
+    labels = spark.range(100).selectExpr("id AS doc_id", "int(id % 2) AS quality")
+    both = labels.unionByName(labels).unionByName(labels.selectExpr("NULL AS doc_id", "1 AS quality"))
+    ids = [r.doc_id for r in quality.trusted_documents(both, 10).collect()]
+    assert len(set(ids)) == len(ids) == 10 and all(i % 2 for i in ids)

@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+import zlib
+
+import pytest
+
+from llm_support import ODD, frame, rows_of
+from waybill.llm import toxicity
+
+RUDE = ("blockhead", "rotter", "numskull")
+
+
+def sentence(i, rude=False):
+    words = [f"{a}{b}" for a in ("tal", "men", "sor", "vin") for b in ("or", "ak", "ul", "em", "is")]
+    text = [words[(i * k + k * k) % len(words)] for k in range(1, 40 + i % 20)]
+    if rude:
+        text[3], text[20] = RUDE[i % 3], RUDE[(i + 1) % 3]
+    return " ".join(text)
+
+
+@pytest.fixture(scope="module")
+def learned(spark):
+    rows = [(i, sentence(i, i % 5 == 2), "en", "s") for i in range(600)]
+    labels = spark.createDataFrame([(i, 1, int(i % 5 == 2)) for i in range(600)], "doc_id long, quality int, toxic int")
+    words, share = toxicity.learning_words(frame(spark, rows), labels)
+    documents = [(r["words"], r["toxic"]) for r in words.orderBy("toxic", "place").collect()]
+    return rows, labels, documents, toxicity.train(documents, share)
+
+
+def test_learning_documents(learned):
+    rows, _, documents, _ = learned
+    usable = [i for i, *_ in rows if zlib.crc32(str(i).encode()) % 5]
+    assert len(documents) == len(usable)
+    assert sum(toxic for _, toxic in documents) == sum(i % 5 == 2 for i in usable)
+    text = dict((i, t) for i, t, _, _ in rows)
+    for words, _ in documents[:20]:
+        assert any(sorted(words) == sorted(set(t.split())) for t in text.values())
+
+
+def test_samples_are_bounded(spark, learned):
+    rows, labels, _, _ = learned
+    docs = frame(spark, rows)
+    few, _ = toxicity.learning_words(docs, labels, documents_each=7)
+    assert sorted(r.toxic for r in few.collect()) == [0] * 7 + [1] * 7
+    few, _ = toxicity.learning_words(docs, labels, words_each=50)
+    for toxic in (0, 1):
+        held = [len(r["words"]) for r in few.collect() if r.toxic == toxic]
+        assert sum(held) <= 50
+
+
+def test_held_out_documents(spark, learned):
+    rows, labels, _, _ = learned
+    found = toxicity.toxicity(frame(spark, rows), labels).collect()
+    assert {r.doc_id for r in found if r.held_out} == {
+        i for i, *_ in rows if zlib.crc32(str(i).encode()) % 5 == 0
+    }
+    held = [r for r in found if r.held_out]
+    right = sum(r.predicted == int(r.doc_id % 5 == 2) for r in held)
+    assert right >= 0.97 * len(held)
+    for r in found:
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+
+
+def test_misspellings_share_the_vectors_of_their_ngrams(learned):
+    *_, model = learned
+    clean = max(model.of_word(w) for w in sentence(1).split())
+    for word in ("blockheadd", "blockheads", "BLOCKHEAD!", "numskulls", "rotterr"):
+        assert model.of_word(word) > 3 * max(clean, 1)
+    assert model.of_word("--") == 0.0
+
+
+def test_scores_equal_plain_means(spark, learned):
+    *_, model = learned
+    texts = [sentence(3), sentence(7, True), "", "  \n ", "blockhead", None]
+    docs = frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]).select("text").toArrow()
+    got = [*toxicity._logits(docs["text"].combine_chunks(), model, {})][0]
+    for text, logit in zip(texts, got):
+        words = (text or "").split()
+        mean = sum(map(model.of_word, words)) / (len(words) + toxicity.PADDING)
+        assert logit == pytest.approx(model.bias + mean)
+
+
+def test_odd_documents(spark, odd, none, learned):
+    _, labels, _, _ = learned
+    rows = toxicity.toxicity(odd, labels).collect()
+    assert len(rows) == len(ODD)
+    assert all(r.held_out for r in rows if r.doc_id is None)
+    assert len({r.score for r in rows if r.doc_id in (1, 2, 8)}) == 1
+    assert rows_of(toxicity.toxicity(none, labels)) == []
+    assert {r.score for r in toxicity.toxicity(odd, labels.limit(0)).collect()} == {0.0}
+
+
+def test_held_out_accuracy_on_the_test_tables(documents, labels):
+    found = toxicity.toxicity(documents, labels).join(labels, "doc_id").collect()
+    learned = [r for r in found if not r.held_out]
+    assert sum(r.predicted == r.toxic for r in learned) >= 0.95 * len(learned)

@@ -45,7 +45,7 @@ def dictionaries(
     learning: DataFrame, documents_each: int = DOCUMENTS_EACH, size: int = DICTIONARY_BYTES
 ) -> dict[str, bytes]:
     """Dictionary content per language, the most frequent first, from rows of text and lang."""
-    known = learning.filter("lang IS NOT NULL AND text IS NOT NULL")
+    known = learning.select("doc_id", "text", "lang").filter("lang IS NOT NULL AND text IS NOT NULL")
     chosen = first_by_hash(known.select("doc_id", "lang").distinct(), "lang", "doc_id", documents_each)
     wanted = chosen.select(
         F.col("doc_id").alias("wanted_id"), F.col("lang").alias("wanted_lang"), "place"
