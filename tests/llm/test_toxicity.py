@@ -21,7 +21,8 @@ def sentence(i, rude=False):
 @pytest.fixture(scope="module")
 def learned(spark):
     rows = [(i, sentence(i, i % 5 == 2), "en", "s") for i in range(600)]
-    labels = spark.createDataFrame([(i, 1, int(i % 5 == 2)) for i in range(600)], "doc_id long, quality int, toxic int")
+    marks = [(i, 1, int(i % 5 == 2)) for i in range(600)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
     words, share = toxicity.learning_words(frame(spark, rows), labels)
     documents = [(r["words"], r["toxic"]) for r in words.orderBy("toxic", "place").collect()]
     return rows, labels, documents, toxicity.train(documents, share)

@@ -147,7 +147,8 @@ def license_units(
     texts = named.filter(text.isNotNull()).withColumns(
         {"text_hash": F.xxhash64("text"), "row": F.monotonically_increasing_id()}
     )
-    lines = texts.select("doc_id", "text_hash", "row", F.posexplode(F.split(text, "\n")).alias("unit", "line"))
+    line = F.posexplode(F.split(text, "\n")).alias("unit", "line")
+    lines = texts.select("doc_id", "text_hash", "row", line)
     short = F.regexp_count(text, F.lit(_WORD)) <= most + 1
     whole = texts.filter(F.contains(text, F.lit("\n")) & short).select(
         "doc_id", "text_hash", "row", F.lit(WHOLE).alias("unit"), text.alias("line")
@@ -199,7 +200,8 @@ def scan_licenses(
         F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash"), "best", "n_units"
     )
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"))
-    same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_hash") == F.col("found_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("found_id"))
+    same &= F.col("text_hash") == F.col("found_hash")
     return rows.join(found, same, "left").select(
         "doc_id",
         F.col("best.license").alias("license"),

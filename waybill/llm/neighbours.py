@@ -15,8 +15,6 @@ inserted in batches, so that searches run side by side in numpy.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
