@@ -39,9 +39,8 @@ def test_ids_equal_the_library(name, size, monkeypatch):
     texts = ["".join(draw.choices(PARTS, k=draw.randint(0, 14))) for _ in range(4000)]
     texts += [" ".join(draw.choices(["foo", "Bar,", "baz\nqux.", "naïve"], k=80)) for _ in range(50)]
     texts += [None, "", " ".join(texts[:300])]
-    encoder = tokens.Encoder(public_tokenizers.path(name), VOCABULARIES[name])
+    encoder = tokens.Encoder(public_tokenizers.path(name), VOCABULARIES[name], cached_words=100)
     monkeypatch.setattr(tokens, "SLICE_BYTES", size)
-    monkeypatch.setattr(tokens, "CACHED_WORDS", 100)
     assert ours(encoder, texts) == library(name, texts, VOCABULARIES[name])
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybill.llm.shared import free_name, ship, staged
-from waybill.llm.tokens import encoder
+from waybill.llm.tokens import CACHED_WORDS, encoder
 
 SEQUENCE_TOKENS = 2048
 #: Bins that may be open at a time, in each bucket.
@@ -74,6 +74,7 @@ def token_pieces(
     id_column: str = "doc_id",
     text_column: str = "text",
     with_ids: bool = False,
+    cached_words: int = CACHED_WORDS,
 ) -> DataFrame:
     """Documents as pieces of at most ``size`` tokens, the end id included.
 
@@ -86,7 +87,7 @@ def token_pieces(
     names = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary, end_id).encode
+        encode = encoder(vocabulary, end_id, cached_words).encode
         for batch in batches:
             done = 0
             for ids, lengths in encode(batch.column("text")):
@@ -164,8 +165,16 @@ def pack(
 
 
 def pack_documents(
-    docs: DataFrame, vocabulary: str, end_id: int, size: int = SEQUENCE_TOKENS, with_ids: bool = False
+    docs: DataFrame,
+    vocabulary: str,
+    end_id: int,
+    size: int = SEQUENCE_TOKENS,
+    with_ids: bool = False,
+    cached_words: int = CACHED_WORDS,
 ) -> DataFrame:
     """Encode, cut and pack whole documents; see ``token_pieces`` and ``pack``."""
-    pieces = staged(token_pieces(docs, vocabulary, end_id, size, with_ids=with_ids), "pieces")
+    pieces = token_pieces(
+        docs, vocabulary, end_id, size, with_ids=with_ids, cached_words=cached_words
+    )
+    pieces = staged(pieces, "pieces")
     return pack(pieces, ["doc_id", "piece", "ids_crc32"], size)

@@ -20,6 +20,7 @@ from waybill.llm import (
     toxicity,
 )
 from waybill.llm.shared import new_folder, table
+from waybill.llm.tokens import CACHED_WORDS_ALONE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,7 +45,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary, WORD_END)
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_documents(
+        docs, vocabulary, WORD_END, cached_words=CACHED_WORDS_ALONE
+    )
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

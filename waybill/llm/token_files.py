@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.llm.shared import ship
-from waybill.llm.tokens import encoder, id_type
+from waybill.llm.tokens import CACHED_WORDS_ALONE, encoder, id_type
 
 _SHARD = pa.schema(
     [
@@ -64,7 +64,8 @@ def write_token_files(
         context = TaskContext.get()
         name = f"{context.partitionId():05d}-{context.taskAttemptId()}"
         store, base = fs.FileSystem.from_uri(f"{folder}/{name}")
-        encode, written, documents, null_ids = encoder(vocabulary, end_id).encode, 0, 0, 0
+        encode = encoder(vocabulary, end_id, CACHED_WORDS_ALONE).encode
+        written, documents, null_ids = 0, 0, 0
         with (
             store.open_output_stream(f"{base}.bin") as ids_out,
             store.open_output_stream(f"{base}.off") as offsets_out,

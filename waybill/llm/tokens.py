@@ -13,6 +13,7 @@ import functools
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,14 +22,20 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Words that a worker remembers; about 200 bytes each.
-CACHED_WORDS = 800_000
+CACHED_WORDS = 400_000
+#: As many if nothing else runs in the worker.
+CACHED_WORDS_ALONE = 800_000
 #: Bytes of text that are cut and gathered at a time.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
+#: Words that the library encodes at a time; what it returns is far larger than its ids.
+WORDS_AT_ONCE = 2_000
 
 #: Marks a word that no blank precedes; twice, the end of a text.
 _MARK = "\0"
 #: All that Python or a tokenizer may hold for white space.
 _SPACES = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: Letters below this are single letters to any tokenizer, in lower case too.
+_PLAIN_LETTERS = "\u0100"
 #: White space that a tokenizer might group across a cut, and the mark itself.
 _HARD = rf" {_SPACES}|{_SPACES}{{3}}|{_SPACES}{{2}}$|\x00"
 _CUT = re.compile(r"(?<=[^\s\x1c-\x1f])[ \n]")
@@ -54,6 +61,13 @@ def _cuts(definition: dict) -> str | None:
     return None
 
 
+def _core(key: str) -> str:
+    """A word without the comma or full stop behind its last letter."""
+    if key[-1:] in (",", ".") and key[-2:-1].isalpha() and key[-2] < _PLAIN_LETTERS:
+        return key[:-1]
+    return key
+
+
 def parts(text: str, size: int) -> Iterator[str]:
     """A long text in parts that begin at white space behind a word."""
     start = 0
@@ -69,7 +83,7 @@ def parts(text: str, size: int) -> Iterator[str]:
 class Encoder:
     """Texts to ids, each text's followed by an end id."""
 
-    def __init__(self, path: str, end_id: int) -> None:
+    def __init__(self, path: str, end_id: int, cached_words: int = CACHED_WORDS) -> None:
         with open(path, encoding="utf-8") as file:
             definition = json.load(file)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
@@ -77,13 +91,22 @@ class Encoder:
         # Strings like <|endoftext|> in a text are text, not ends of documents.
         self.tokenizer.encode_special_tokens = True
         self.dtype = id_type(path, end_id)
+        self.code = np.dtype(self.dtype).char
         self.end = np.array([end_id], self.dtype).tobytes()
         self.cuts = _cuts(definition)
+        self.cached_words = cached_words
         self.known: dict[str, bytes] = {_MARK * 2: self.end}
+        if self.cuts:
+            self.known |= zip((_MARK + ",", _MARK + "."), self._library([",", "."]))
+        steps = (definition.get("normalizer") or {}).get("normalizers", [])
+        self.folds = self.cuts == "at" and {"type": "Lowercase"} in steps
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in encoded]
+        encode, done = self.tokenizer.encode_batch_fast, []
+        for first in range(0, len(texts), WORDS_AT_ONCE):
+            encoded = encode(texts[first : first + WORDS_AT_ONCE], add_special_tokens=False)
+            done += [array(self.code, e.ids).tobytes() for e in encoded]
+        return done
 
     def _word(self, key: str) -> str:
         """The text that a word stands for: with the blank before it, if there is one."""
@@ -92,17 +115,33 @@ class Encoder:
         return key if self.cuts == "at" or key.startswith("\n") else " " + key
 
     def _of_words(self, keys: list[str]) -> list[bytes]:
-        unknown = [key for key in keys if key not in self.known]
-        fresh = dict(zip(unknown, self._library([*map(self._word, unknown)]), strict=True))
-        if len(self.known) + len(fresh) <= CACHED_WORDS:
-            self.known.update(fresh)
-            return [*map(self.known.__getitem__, keys)]
+        """The ids of distinct words; unknown ones go through the library, once each.
+
+        A comma or full stop behind a letter is a piece of its own in both kinds
+        of tokenizers, so a word with one shares the ids of the word without.
+        """
         known = self.known
-        return [fresh[key] if key in fresh else known[key] for key in keys]
+        found = [*map(known.get, keys)]
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        fresh: dict[str, bytes | None] = {}
+        for i in missing:
+            core = _core(keys[i])
+            if core not in known:
+                fresh[core] = None
+        fresh = dict(zip(fresh, self._library([*map(self._word, fresh)]), strict=True))
+        if len(known) + len(fresh) <= self.cached_words:
+            known.update(fresh)
+        for i in missing:
+            key = keys[i]
+            core = _core(key)
+            ids = fresh[core] if core in fresh else known[core]
+            found[i] = ids if core == key else ids + known[_MARK + key[-1]]
+        return found
 
     def _gathered(self, texts: pa.Array, last: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts that may be cut, and how many each has; ``last`` closes each text."""
         blank = " " if self.cuts == "at" else " \n"
+        texts = pc.ascii_lower(texts) if self.folds else texts
         marked = pc.binary_join_element_wise(_MARK, pc.replace_substring(texts, "\n", blank), last, "")
         split = pc.split_pattern(marked, " ")
         words = split.values.dictionary_encode()
@@ -161,9 +200,9 @@ class Encoder:
 
 
 @functools.cache
-def encoder(path: str, end_id: int) -> Encoder:
+def encoder(path: str, end_id: int, cached_words: int = CACHED_WORDS) -> Encoder:
     """One encoder per worker process, with the words it has met."""
-    return Encoder(path, end_id)
+    return Encoder(path, end_id, cached_words)
 
 
 def id_type(path: str, end_id: int) -> str:
