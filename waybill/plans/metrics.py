@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waybill.functions.rounding import exact_parts, round_total
@@ -22,12 +22,23 @@ ROWS = "trip_rows"
 PARTS = ("whole", "millionths", "double")
 
 
+def with_parts(trips: DataFrame, measures: Iterable[str]) -> DataFrame:
+    """Trips with the parts of every measure, computed once per trip for all slices."""
+    return trips.withColumns(
+        {
+            f"{measure}_{part}": value
+            for measure in measures
+            for part, value in zip(PARTS, exact_parts(F.col(measure)))
+        }
+    )
+
+
 def partial_totals(measures: Iterable[str]) -> list[Column]:
-    """The row count, and exact sums and a non-NULL count for every measure."""
+    """The row count, and sums of the parts and a non-NULL count for every measure."""
     totals = [F.count("*").alias(ROWS)]
     for measure in measures:
-        for part, value in zip(PARTS, exact_parts(F.col(measure))):
-            totals.append(F.sum(value).alias(f"{measure}_{part}"))
+        names = [f"{measure}_{part}" for part in PARTS]
+        totals += [F.sum(name).alias(name) for name in names]
         totals.append(F.count(measure).alias(f"{measure}_n"))
     return totals
 

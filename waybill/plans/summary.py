@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from waybill.functions import calendar, trip
 from waybill.operators.attributes import with_keys
 from waybill.operators.quality import fill_payment_type, start_of, with_duration, with_speed
-from waybill.plans.metrics import ROWS, partial_totals
+from waybill.plans.metrics import ROWS, partial_totals, with_parts
 from waybill.plans.reports import CLEAN, RECENT, REPORTS, VALID, Report, finish
 from waybill.rules import DEFAULT_RULES, Rules
 from waybill.schema import SERVICE
@@ -85,7 +85,7 @@ def summarize_service(
     of_valid = [key for name in slices if name != CODES for key in SLICES[name]]
     keyed = keyed.withColumns({key: F.when(F.col(VALID), F.col(key)) for key in of_valid})
     sets = [[F.col(VALID), *map(F.col, SLICES[name])] for name in slices]
-    totals = keyed.groupingSets(sets, *map(F.col, keys)).agg(
+    totals = with_parts(keyed, measures).groupingSets(sets, *map(F.col, keys)).agg(
         _slice_name(keys, slices).alias(SLICE), *partial_totals(measures)
     )
     return totals.filter((F.col(SLICE) == CODES) | F.col(VALID))
