@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+import re
+import textwrap
 from collections import Counter
 
 import duckdb
@@ -77,3 +80,59 @@ def test_repeated_bigrams_count(spark, repeat):
     ours, theirs = Counter(["ab"] * repeat + ["ba"] * (repeat - 1)), Counter(["ab"] * 3 + ["ba"] * 2)
     both = sum((ours & theirs).values())
     assert [u.score for u in units] == [2 * both / (ours.total() + theirs.total())]
+
+
+def words_in(text):
+    return re.findall("[a-z0-9]+", text.lower())
+
+
+def best_passage(words, template):
+    """Score of the best run of words, by trying them all."""
+    theirs, best = Counter(zip(template, template[1:])), 0.0
+    for start in range(len(words) - 1):
+        ours = Counter()
+        for end in range(start, min(len(words) - 1, start + 2 * len(template))):
+            ours[words[end], words[end + 1]] += 1
+            best = max(best, 2 * (ours & theirs).total() / (ours.total() + theirs.total()))
+    return best
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_passages_equal_trying_every_run(spark, seed):
+    draw = random.Random(seed)
+    templates = (("X", "a b c a b d a b"), ("Y", "b c d e"), ("Z", "c a"), ("W", "e e e e"))
+    texts = [" ".join(draw.choices("abcdef", k=draw.randint(0, 40))) for _ in range(60)]
+    docs = frame(spark, [(i, text, "en", "s") for i, text in enumerate(texts)])
+    for least in (0.5, 0.75):
+        found = licenses.license_passages(docs, templates, least).collect()
+        got = {(row.doc_id, row.template): row.score for row in found}
+        want = {
+            (i, number): score
+            for i, text in enumerate(texts)
+            for number, (_, template) in enumerate(templates)
+            if (score := best_passage(words_in(text), words_in(template))) >= least
+        }
+        assert len(want) > 20 and got == pytest.approx(want)
+
+
+def test_statements_inside_longer_units(spark):
+    prose = "\n".join(f"some line {i} of many words that say nothing of it" for i in range(400))
+    header = textwrap.fill(licenses.TEMPLATES[1][1], 40, initial_indent=" * ", subsequent_indent=" * ")
+    agpl = textwrap.fill(licenses.HEADERS[-1][1], 72, initial_indent="# ", subsequent_indent="# ")
+    found = scan(
+        spark,
+        f"{header}\n{prose}",
+        "This tool is released under the MIT License and may be copied by anyone.",
+        f"{prose}\nIt is licensed under CC\nBY-SA 4.0 since last year.\n{prose}",
+        f"# Copyright 2020 Someone. All rights reserved.\n{header}\n{prose}",
+        f"{prose}\n{agpl}\n{prose}",
+        prose,
+    )
+    assert found == [
+        ("Apache-2.0", 1.0, licenses.PASSAGE, 1),
+        ("MIT", 1.0, licenses.PASSAGE, 1),
+        ("CC-BY-SA-4.0", 1.0, licenses.PASSAGE, 1),
+        ("Apache-2.0", 1.0, licenses.PASSAGE, 1),
+        ("AGPL-3.0", 1.0, licenses.PASSAGE, 1),
+        (None, 0.0, None, 0),
+    ]

@@ -9,21 +9,28 @@ text that is longer than any template admits is not cut up at all.
 
 Bigrams meet the templates' by a join with a table of a few hundred rows; what
 is counted and shuffled is only what they have in common.
+
+A statement inside a longer unit is found as a passage: any run of words of the
+text, across its lines, that reaches the least score. The best run starts and
+ends with a bigram of the template, so only the places of those are compared.
+A run misses at most ``size - fewest`` bigrams of a template, so a text without
+any of its ``size - fewest + 1`` rarest ones holds no such run.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Below this coefficient a unit states no licence.
 LEAST_SCORE = 0.75
-#: The unit number of a whole text; lines count from 0.
+#: The unit numbers of a whole text and of a passage; lines count from 0.
 WHOLE = -1
+PASSAGE = -2
 
 # Customary licence statements, by SPDX identifier.
 TEMPLATES = (
@@ -103,6 +110,22 @@ TEMPLATES = (
     ("LicenseRef-All-Rights-Reserved", "All rights reserved."),
 )
 
+#: Customary file headers that are looked for as passages only.
+HEADERS = tuple(
+    (
+        name,
+        "This program is free software: you can redistribute it and/or modify it under the terms"
+        f" of the GNU {kind}General Public License as published by the Free Software Foundation,"
+        f" either version {version} of the License, or (at your option) any later version.",
+    )
+    for name, kind, version in (
+        ("GPL-2.0", "", "2"),
+        ("LGPL-2.1", "Lesser ", "2.1"),
+        ("LGPL-3.0", "Lesser ", "3"),
+        ("AGPL-3.0", "Affero ", "3"),
+    )
+)
+
 _WORD = "[A-Za-z0-9]+"
 
 
@@ -178,10 +201,120 @@ def license_units(
     return counted.withColumn("score", score).filter(F.col("score") >= least_score).drop("row")
 
 
+def anchors(rows: list[tuple]) -> list[str]:
+    """Of ``template_bigrams``: one of these is in every passage that reaches the score."""
+    templates = defaultdict(list)
+    spread = Counter(row[2] for row in rows)
+    for row in rows:
+        templates[row[0]].append(row)
+    chosen = set()
+    for own in templates.values():
+        needed = own[0][4] - own[0][5] + 1
+        for row in sorted(own, key=lambda row: (spread[row[2]], -len(row[2]), row[2])):
+            if needed > 0:
+                chosen.add(row[2])
+                needed -= row[3]
+    return sorted(chosen)
+
+
+def _among(bigrams) -> str:
+    return "IN (" + ", ".join(f"'{bigram}'" for bigram in bigrams) + ")"
+
+
+def license_passages(docs: DataFrame, templates, least_score: float = LEAST_SCORE) -> DataFrame:
+    """The best passage of each row and template: doc_id, text_hash, row, license, score, both, template.
+
+    ``both`` counts the bigrams that passage and template have in common.
+    """
+    spark: SparkSession = docs.sparkSession
+    rows = [row for row in template_bigrams(templates, least_score) if row[4] >= 1]
+    table = spark.createDataFrame(
+        rows,
+        "template int, license string, bigram string, times int, size int, fewest int, most int",
+    )
+    texts = docs.filter(F.col("text").isNotNull()).select(
+        "doc_id", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("row"), "text"
+    )
+    cleaned = F.lower(F.btrim(F.regexp_replace("text", f"[^{_WORD[1:-2]}]+", " ")))
+    # Exploded arrays of one element keep Spark from computing their content again at each use.
+    cut = texts.select(
+        "doc_id", "text_hash", "row", F.explode(F.array(F.split(cleaned, " "))).alias("words")
+    )
+    pair = "concat(w, ' ', get(words, i + 1))"
+    known = _among(sorted({row[2] for row in rows}))
+    hits = F.expr(
+        f"filter(transform(words, (w, i) -> CASE WHEN {pair} {known}"
+        f" THEN struct(i AS pos, {pair} AS bigram) END), h -> h IS NOT NULL)"
+    )
+    held = (
+        cut.select("doc_id", "text_hash", "row", F.explode(F.array(hits)).alias("hits"))
+        .filter(F.expr(f"exists(hits, h -> h.bigram {_among(anchors(rows))})"))
+        .select("doc_id", "text_hash", "row", F.inline("hits"))
+    )
+    key = ["doc_id", "text_hash", "row", "template", "license", "size", "fewest", "most"]
+    placed = (
+        held.join(F.broadcast(table), "bigram")  # bounded by the templates, whatever the input
+        .groupBy(*key, "bigram", "times")
+        .agg(F.sort_array(F.collect_list("pos")).alias("at"))
+    )
+    # A bigram counts in a passage unless ``times`` earlier ones of its kind are in it already.
+    kept = F.expr(
+        "transform(at, (p, n) -> struct(p AS pos, coalesce(get(at, if(n < times, -1, n - times)), -1) AS lost))"
+    )
+    dense = (
+        placed.groupBy(*key)
+        .agg(
+            F.sum(F.least(F.size("at"), "times")).alias("reach"),
+            F.sort_array(F.flatten(F.collect_list(kept))).alias("hits"),
+        )
+        .filter("reach >= fewest")
+        .withColumn("n", F.size("hits"))
+    )
+    starts = dense.select(
+        "*",
+        F.explode(
+            F.expr(
+                "filter(sequence(0, n - fewest),"
+                " i -> hits[i + fewest - 1].pos - hits[i].pos < most)"
+            )
+        ).alias("start"),
+    )
+    run = starts.select(
+        *key,
+        F.expr("slice(hits, start + 1, most)").alias("run"),
+        F.expr("hits[start].pos").alias("first"),
+    )
+    both = "(s.both + if(h.lost < first, 1, 0))"
+    length = "(h.pos - first + 1)"
+    best = F.expr(
+        "aggregate(run, named_struct('both', 0, 'score', 0.0D, 'common', 0), (s, h) ->"
+        f" CASE WHEN {length} > most THEN s"
+        f" WHEN 2 * {both} / ({length} + size) > s.score"
+        f" THEN named_struct('both', {both}, 'score', 2 * {both} / ({length} + size), 'common', {both})"
+        f" ELSE named_struct('both', {both}, 'score', s.score, 'common', s.common) END)"
+    )
+    return (
+        run.select(*key, best.alias("best"))
+        .groupBy("doc_id", "text_hash", "row", "license", "template")
+        .agg(F.max(F.struct("best.score", "best.common")).alias("best"))
+        .filter(F.col("best.score") >= least_score)
+        .select(
+            "doc_id",
+            "text_hash",
+            "row",
+            "license",
+            F.col("best.score").alias("score"),
+            F.col("best.common").alias("both"),
+            "template",
+        )
+    )
+
+
 def scan_licenses(
     docs: DataFrame,
     templates=TEMPLATES,
     least_score: float = LEAST_SCORE,
+    headers=HEADERS,
 ) -> DataFrame:
     """doc_id, license, score, unit and n_units of every row.
 
@@ -189,12 +322,33 @@ def scan_licenses(
     the earlier unit, a whole text (-1) last. ``n_units`` is the number of
     lines and whole texts that state any licence. Without a statement, and for
     NULL and empty texts, license and unit are NULL, score and n_units 0.
+
+    Where no line or whole text states a licence, passages (unit -2) of
+    ``templates`` and ``headers`` do: the best is the one of the most bigrams
+    in common times score. It adds one to ``n_units``.
     """
-    stated = license_units(docs, templates, least_score)
+    named = docs.select("doc_id", "text")
+    ranks = ["doc_id", "text_hash", "rank", "weight", "score", "template", "unit", "license"]
+    stated = license_units(named, templates, least_score).select(
+        "*", F.lit(1).alias("rank"), F.col("score").alias("weight")
+    )
+    passages = license_passages(named, (*templates, *headers), least_score).select(
+        "*",
+        F.lit(0).alias("rank"),
+        (F.col("score") * F.col("both")).alias("weight"),
+        F.lit(PASSAGE).alias("unit"),
+    )
     unit = F.when(F.col("unit") == WHOLE, F.lit(1 << 30)).otherwise(F.col("unit"))
-    best = F.max(F.struct("score", -F.col("template"), -unit, "license", "unit")).alias("best")
-    found = stated.groupBy("doc_id", "text_hash").agg(
-        best, F.count_distinct("unit").alias("n_units")
+    best = F.max(
+        F.struct("rank", "weight", "score", -F.col("template"), -unit, "license", "unit")
+    ).alias("best")
+    line = F.when(F.col("unit") != PASSAGE, F.col("unit"))
+    found = (
+        stated.select(*ranks)
+        .unionByName(passages.select(*ranks))
+        .groupBy("doc_id", "text_hash")
+        .agg(best, F.count_distinct(line).alias("n_lines"))
+        .withColumn("n_units", F.col("n_lines") + (F.col("best.unit") == PASSAGE).cast("int"))
     )
     found = found.select(
         F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash"), "best", "n_units"
