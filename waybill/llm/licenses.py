@@ -7,14 +7,16 @@ sizes that are too far apart cannot reach the least score whatever they hold,
 so a unit is compared with the templates of about its size only, and a whole
 text that is longer than any template admits is not cut up at all.
 
-Bigrams meet the templates' by a join with a table of a few hundred rows; what
-is counted and shuffled is only what they have in common.
+Bigrams meet the templates' by a join with a table that is bounded by the
+templates; what is counted and shuffled is only what they have in common.
 
 A statement inside a longer unit is found as a passage: any run of words of the
 text, across its lines, that reaches the least score. The best run starts and
 ends with a bigram of the template, so only the places of those are compared.
 A run misses at most ``size - fewest`` bigrams of a template, so a text without
-any of its ``size - fewest + 1`` rarest ones holds no such run.
+any of its ``size - fewest + 1`` rarest ones holds no such run; as a line is a
+run too, only texts that have them are stored and looked at further. Complete
+licences are found by their sections in the same way.
 """
 
 from __future__ import annotations
@@ -22,10 +24,14 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
+from collections.abc import Callable
+from importlib.resources import files
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waybill.llm.shared import staged
+
 #: Below this coefficient a unit states no licence.
 LEAST_SCORE = 0.75
 #: The unit numbers of a whole text and of a passage; lines count from 0.
@@ -126,9 +132,60 @@ HEADERS = tuple(
     )
 )
 
+#: Licences whose complete text lies in ``license_texts``. Of equal matches the earlier one
+#: counts, so a section that licences share is given to the first of them.
+COMPLETE = (
+    "MIT",
+    "ISC",
+    "BSD-2-Clause",
+    "BSD-3-Clause",
+    "Unlicense",
+    "Apache-2.0",
+    "MPL-2.0",
+    "CC0-1.0",
+    "GPL-2.0",
+    "GPL-3.0",
+    "LGPL-2.1",
+    "LGPL-3.0",
+    "AGPL-3.0",
+)
+#: Texts of up to so many words are one template; longer ones are cut at paragraphs.
+WHOLE_WORDS = 300
+SECTION_WORDS = 100
+
+#: Templates of so many bigrams are looked for by how dense their bigrams lie in a piece of text.
+LARGE = 40
+PIECE = 100
+
 _WORD = "[A-Za-z0-9]+"
 
 
+def complete_text(name: str) -> str:
+    return files(__package__).joinpath("license_texts", f"{name}.txt").read_text("utf-8")
+
+
+def sections(text: str) -> list[str]:
+    """The paragraphs of a licence, joined to sections of ``SECTION_WORDS`` words or more.
+
+    Lines that hold a place for the holder's name are left out of short texts.
+    """
+    paragraphs = re.split(r"\n\s*\n", text.strip())
+    if len(re.findall(_WORD, text)) <= WHOLE_WORDS:
+        return ["\n\n".join(p for p in paragraphs if not re.match(r"(Copyright \(c\) )?<", p))]
+    cut = [""]
+    for paragraph in paragraphs:
+        if len(re.findall(_WORD, cut[-1])) >= SECTION_WORDS:
+            cut.append("")
+        cut[-1] += f"{paragraph}\n\n"
+    if len(re.findall(_WORD, cut[-1])) < SECTION_WORDS:
+        cut[-2:] = ["".join(cut[-2:])]
+    return cut
+
+
+def complete_templates(names=COMPLETE) -> tuple:
+    return tuple((name, section) for name in names for section in sections(complete_text(name)))
+
+
 def template_bigrams(templates=TEMPLATES, least_score: float = LEAST_SCORE) -> list[tuple]:
     """(template, license, bigram, times, size, fewest, most) per bigram of each template.
 
@@ -201,30 +258,96 @@ def license_units(
     return counted.withColumn("score", score).filter(F.col("score") >= least_score).drop("row")
 
 
-def anchors(rows: list[tuple]) -> list[str]:
-    """Of ``template_bigrams``: one of these is in every passage that reaches the score."""
+def rarest(rows: list[tuple], more: Callable[[int], int]) -> set[str]:
+    """Of ``template_bigrams``: every passage that reaches the score holds ``more`` of these.
+
+    ``more`` is given the fewest bigrams of such a passage.
+    """
     templates = defaultdict(list)
     spread = Counter(row[2] for row in rows)
     for row in rows:
         templates[row[0]].append(row)
     chosen = set()
     for own in templates.values():
-        needed = own[0][4] - own[0][5] + 1
+        size, fewest = own[0][4:6]
+        needed = size - fewest + more(fewest)
         for row in sorted(own, key=lambda row: (spread[row[2]], -len(row[2]), row[2])):
             if needed > 0:
                 chosen.add(row[2])
                 needed -= row[3]
-    return sorted(chosen)
+    return chosen
+
+
+def _among(values) -> str:
+    return "IN (" + ", ".join(f"'{value}'" for value in sorted(values)) + ")" if values else "IS NULL"
+
+
+def _words(text: str) -> Column:
+    # Exploded arrays of one element keep Spark from computing their content again at each use.
+    cleaned = F.lower(F.btrim(F.regexp_replace(text, f"[^{_WORD[1:-2]}]+", " ")))
+    return F.explode(F.array(F.split(cleaned, " "))).alias("words")
 
 
-def _among(bigrams) -> str:
-    return "IN (" + ", ".join(f"'{bigram}'" for bigram in bigrams) + ")"
+def _hits(bigrams: set[str]) -> Column:
+    """Places of ``bigrams`` in ``words``: structs of pos and bigram."""
+    pair = "concat(w, ' ', get(words, i + 1))"
+    first = _among({bigram.split(" ")[0] for bigram in bigrams})
+    return F.explode(
+        F.array(
+            F.expr(
+                f"filter(transform(words, (w, i) -> CASE WHEN w {first} AND {pair} {_among(bigrams)}"
+                f" THEN struct(i AS pos, {pair} AS bigram) END), h -> h IS NOT NULL)"
+            )
+        )
+    ).alias("hits")
 
 
-def license_passages(docs: DataFrame, templates, least_score: float = LEAST_SCORE) -> DataFrame:
+def gated(
+    docs: DataFrame,
+    templates,
+    least_score: float = LEAST_SCORE,
+    large: int = LARGE,
+    piece: int = PIECE,
+) -> DataFrame:
+    """doc_id and text of every row that may hold a passage of any template; no other row has one.
+
+    ``has_small`` and ``has_large``: of templates of up to, and of at least, ``large`` bigrams.
+    A passage holds a rarest bigram of its template. It holds half of the fewest
+    bigrams where more of the rarest are looked for, and of the pieces that it is
+    cut into, one has no less than their mean.
+    """
+    rows = [row for row in template_bigrams(templates, least_score) if row[4] >= 1]
+    small = rarest([row for row in rows if row[4] < large], lambda fewest: 1)
+
+    def half(fewest: int) -> int:
+        return max(1, fewest // 2)
+
+    big = [row for row in rows if row[4] >= large]
+    many = rarest(big, half)
+    dense = min((math.ceil(half(row[5]) / math.ceil(row[6] / piece)) for row in big), default=1)
+    near = F.expr(
+        f"exists(sequence({dense - 1}, greatest(size(at), {dense}) - 1),"
+        f" i -> coalesce(get(at, i) - get(at, i - {dense - 1}) < {piece}, FALSE))"
+    )
+    return (
+        docs.select("doc_id", "text")
+        .select("doc_id", "text", _words("text"))
+        .select("doc_id", "text", _hits(small | many))
+        .withColumn("has_small", F.expr(f"exists(hits, h -> h.bigram {_among(small)})"))
+        .withColumn("at", F.expr(f"filter(hits, h -> h.bigram {_among(many)}).pos"))
+        .withColumn("has_large", near)
+        .select("doc_id", "text", "has_small", "has_large")
+        .filter("has_small OR has_large")
+    )
+
+
+def license_passages(
+    docs: DataFrame, templates, least_score: float = LEAST_SCORE, large: int = LARGE
+) -> DataFrame:
     """The best passage of each row and template: doc_id, text_hash, row, license, score, both, template.
 
-    ``both`` counts the bigrams that passage and template have in common.
+    ``docs`` is what ``gated`` returns. ``both`` counts the bigrams that passage
+    and template have in common.
     """
     spark: SparkSession = docs.sparkSession
     rows = [row for row in template_bigrams(templates, least_score) if row[4] >= 1]
@@ -232,28 +355,25 @@ def license_passages(docs: DataFrame, templates, least_score: float = LEAST_SCOR
         rows,
         "template int, license string, bigram string, times int, size int, fewest int, most int",
     )
-    texts = docs.filter(F.col("text").isNotNull()).select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("row"), "text"
-    )
-    cleaned = F.lower(F.btrim(F.regexp_replace("text", f"[^{_WORD[1:-2]}]+", " ")))
-    # Exploded arrays of one element keep Spark from computing their content again at each use.
-    cut = texts.select(
-        "doc_id", "text_hash", "row", F.explode(F.array(F.split(cleaned, " "))).alias("words")
-    )
-    pair = "concat(w, ' ', get(words, i + 1))"
-    known = _among(sorted({row[2] for row in rows}))
-    hits = F.expr(
-        f"filter(transform(words, (w, i) -> CASE WHEN {pair} {known}"
-        f" THEN struct(i AS pos, {pair} AS bigram) END), h -> h IS NOT NULL)"
-    )
+    flags = ["has_small", "has_large"]
     held = (
-        cut.select("doc_id", "text_hash", "row", F.explode(F.array(hits)).alias("hits"))
-        .filter(F.expr(f"exists(hits, h -> h.bigram {_among(anchors(rows))})"))
-        .select("doc_id", "text_hash", "row", F.inline("hits"))
+        docs.select(
+            "doc_id",
+            F.xxhash64("text").alias("text_hash"),
+            F.monotonically_increasing_id().alias("row"),
+            *flags,
+            _words("text"),
+        )
+        .select("doc_id", "text_hash", "row", *flags, _hits({row[2] for row in rows}))
+        .select("doc_id", "text_hash", "row", *flags, F.inline("hits"))
+        .withColumnRenamed("bigram", "held")
     )
+    may = (F.col("held") == F.col("bigram")) & F.when(
+        F.col("size") < large, F.col("has_small")
+    ).otherwise(F.col("has_large"))
     key = ["doc_id", "text_hash", "row", "template", "license", "size", "fewest", "most"]
     placed = (
-        held.join(F.broadcast(table), "bigram")  # bounded by the templates, whatever the input
+        held.join(F.broadcast(table), may)  # bounded by the templates, whatever the input
         .groupBy(*key, "bigram", "times")
         .agg(F.sort_array(F.collect_list("pos")).alias("at"))
     )
@@ -315,6 +435,7 @@ def scan_licenses(
     templates=TEMPLATES,
     least_score: float = LEAST_SCORE,
     headers=HEADERS,
+    complete=COMPLETE,
 ) -> DataFrame:
     """doc_id, license, score, unit and n_units of every row.
 
@@ -325,18 +446,33 @@ def scan_licenses(
 
     Where no line or whole text states a licence, passages (unit -2) of
     ``templates`` and ``headers`` do: the best is the one of the most bigrams
-    in common times score. It adds one to ``n_units``.
+    in common times score. Before all of these count the complete texts, by
+    the sum of that over a licence's sections; the score is that of the section
+    that adds most. A passage that counts adds one to ``n_units``.
     """
-    named = docs.select("doc_id", "text")
+    notices = (*templates, *headers)
+    every = (*notices, *complete_templates(complete))
+    named = staged(gated(docs, every, least_score), "licence-texts")
     ranks = ["doc_id", "text_hash", "rank", "weight", "score", "template", "unit", "license"]
     stated = license_units(named, templates, least_score).select(
         "*", F.lit(1).alias("rank"), F.col("score").alias("weight")
     )
-    passages = license_passages(named, (*templates, *headers), least_score).select(
-        "*",
-        F.lit(0).alias("rank"),
-        (F.col("score") * F.col("both")).alias("weight"),
-        F.lit(PASSAGE).alias("unit"),
+    share = F.col("score") * F.col("both")
+    passages = (
+        license_passages(named, every, least_score)
+        .withColumn("rank", F.when(F.col("template") < len(notices), 0).otherwise(2))
+        .groupBy("doc_id", "text_hash", "row", "rank", "license")
+        .agg(
+            F.round(F.sum(share), 6).alias("every"),
+            F.max(F.struct(share.alias("share"), "score", (-F.col("template")).alias("order"))).alias("top"),
+        )
+        .select(
+            "*",
+            F.when(F.col("rank") == 2, F.col("every")).otherwise(F.col("top.share")).alias("weight"),
+            F.col("top.score").alias("score"),
+            (-F.col("top.order")).alias("template"),
+            F.lit(PASSAGE).alias("unit"),
+        )
     )
     unit = F.when(F.col("unit") == WHOLE, F.lit(1 << 30)).otherwise(F.col("unit"))
     best = F.max(
