@@ -143,3 +143,43 @@ def test_rows_of_the_mix(documents, odd):
 
 def test_frame_has_clashing_columns(spark):
     assert "size" in frame(spark, ODD).columns
+
+
+def test_small_sources_meet_their_targets_in_words(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "LEAST_BLOCKS", 1)
+    sizes = {"hot": 400_000, "tiny1": 3, "tiny2": 40, "tiny3": 170, "tiny4": 400, "tiny5": 5000}
+    rows = [
+        (i, " ".join(["word"] * min(1000, size - start)), "en", source)
+        for source, size in sizes.items()
+        for i, start in enumerate(range(0, size, 1000))
+    ]
+    taken, target = Counter(), {}
+    for row in mixing.mix(frame(spark, rows)).collect():
+        assert 0 <= row.taken <= 3 * row.size
+        taken[row.source] += row.taken
+        target[row.source] = row.target
+    assert {source: target[source] for source in sizes if source != "hot"} == {
+        source: 3.0 * size for source, size in sizes.items() if source != "hot"
+    }
+    for source in sizes:
+        off = 512 + 1 if source == "hot" else 0.5
+        assert abs(taken[source] - target[source]) <= off
+
+
+def test_a_small_target_over_many_shards_is_met_in_words(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "LEAST_BLOCKS", 1)
+    rows = [("big", i, 90 + i % 20, f"{i * 7919 % 65536:015x}") for i in range(600)]
+    rows += [(f"s{i:03}", i, 1000, f"{i:015x}") for i in range(200)]
+    sized = spark.createDataFrame(
+        rows, "mix_source string, mix_id long, mix_size long, mix_place string"
+    )
+    quotas = mixing.shard_quotas(sized, block_words=1024, shard_words=500)
+    goals = Counter()
+    target = {}
+    for row in quotas.collect():
+        assert row.goal <= 3 * row.shard_size
+        goals[row.mix_source] += row.goal
+        target[row.mix_source] = row.target
+    assert target["big"] < 3000  # words, three blocks for more than a hundred shards
+    for source, words in target.items():
+        assert abs(goals[source] - words) <= 0.5

@@ -4,8 +4,10 @@
    ``max_repeats`` times its own size; what that cuts off goes to the others.
 2. The whole is taken as equal-token blocks, and Sainte-Laguë apportionment
    gives them to sources by the highest quotients target / 1, / 3, / 5, ...
-3. Each source's blocks are apportioned over its shards in the same way.
-   Shards hold about ``shard_words`` words, so a large source has many.
+   A source whose target is below ``EXACT_BLOCKS`` blocks is not part of that:
+   it gets its target in words, and the blocks left over go to the others.
+3. Each source's blocks, or words, are apportioned over its shards in the same
+   way. Shards hold about ``shard_words`` words, so a large source has many.
 4. A shard lays its documents out in seeded order and takes its blocks from
    the front, as many rounds as the quota asks for. A document is taken whole
    in each round, except for the one in which the last block ends.
@@ -31,6 +33,8 @@ MAX_REPEATS = 3
 #: The size of a block; small inputs are cut into ``LEAST_BLOCKS`` smaller ones.
 BLOCK_WORDS = 1024
 LEAST_BLOCKS = 10_000
+#: Below so many blocks a target is met in words.
+EXACT_BLOCKS = 32
 SHARD_WORDS = 1 << 20
 SEED = 42
 
@@ -153,16 +157,36 @@ def shard_quotas(
     ``documents`` is a stored table as ``sized`` makes it. Columns mix_source,
     source_size, target, shards (of the source), shard, shard_size and goal.
     """
-    blocks = F.greatest(F.ceil(F.col("words") / block_words), F.lit(LEAST_BLOCKS))
-    targets = source_targets(documents, weights, max_repeats).withColumns(
-        {
-            "blocks": blocks,
-            "shards": F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1)),
-        }
+    every = Window.partitionBy(F.lit(0))
+    block = F.col("words") / F.greatest(F.ceil(F.col("words") / block_words), F.lit(LEAST_BLOCKS))
+    exact = F.col("target") < EXACT_BLOCKS * F.col("block")
+    settled = F.when(F.col("exact"), F.col("target")).otherwise(0.0)
+    targets = (
+        source_targets(documents, weights, max_repeats)
+        .withColumn("block", block)
+        .withColumn("exact", exact)
+        .withColumns(
+            {
+                "votes": F.col("target") - settled,
+                "blocks": F.when(
+                    F.col("words") > 0,
+                    F.round((F.col("words") - F.sum(settled).over(every)) / F.col("block")),
+                )
+                .otherwise(0)
+                .cast("long"),
+                "shards": F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1)),
+            }
+        )
+    )
+    by_source = (
+        apportion(targets, [F.lit(0)], "votes", "blocks", F.col("mix_source").asc_nulls_last())
+        .withColumn(
+            "source_quota",
+            F.when(F.col("exact"), F.round("target").cast("long")).otherwise(F.col("quota")),
+        )
+        .withColumn("unit", F.when(F.col("exact"), 1.0).otherwise(F.col("block")))
+        .drop("quota")
     )
-    by_source = apportion(
-        targets, [F.lit(0)], "target", "blocks", F.col("mix_source").asc_nulls_last()
-    ).withColumnRenamed("quota", "source_quota")
     shards = (
         with_shard(documents, by_source)
         .groupBy(*by_source.columns, "shard")
@@ -171,9 +195,8 @@ def shard_quotas(
     by_shard = apportion(
         shards, [F.col("mix_source")], "shard_size", "source_quota", F.col("shard")
     )
-    block = F.col("words") / F.col("blocks")
     most = F.col("shard_size") * max_repeats
-    goal = F.least(F.round(F.col("quota") * block).cast("long"), most)
+    goal = F.least(F.round(F.col("quota") * F.col("unit")).cast("long"), most)
     return by_shard.select(
         "mix_source", "source_size", "target", "shards", "shard", "shard_size", goal.alias("goal")
     )
@@ -269,7 +292,8 @@ def mixed_documents(
     return each.select(*(value.alias(name) for name, value in columns.items()))
 
 
-#: What ``mix`` returns, for any input, over the view ``documents``.
+#: What ``mix`` returns over the view ``documents``, where every target is ``EXACT_BLOCKS``
+#: blocks or more; it does not settle smaller ones in words.
 SQL = f"""
 WITH sized AS (
   SELECT doc_id, source,
