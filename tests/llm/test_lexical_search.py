@@ -1,0 +1,153 @@
+"""Ranked search against a plain loop over all documents."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from llm_support import LONG, ODD, rows_of
+from waybill.llm import lexical_search
+from waybill.llm.lexical_search import search, terms
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def cut(text):
+    return TERM.findall((text or "").translate(LOWER))
+
+
+def brute(docs, items, most=50):
+    held = [(i, Counter(cut(t))) for i, t in docs]
+    held = [(i, c) for i, c in held if c]
+    documents, total = len(held), sum(sum(c.values()) for _, c in held)
+    df = Counter(term for _, c in held for term in c)
+    asked = {}
+    for item, text in items:
+        asked.setdefault(item, set()).update(cut(text))
+    rows = []
+    for item, wanted in asked.items():
+        found = []
+        for i, c in held:
+            m = 50 + 50 * sum(c.values()) * documents // total
+            score = sum(
+                math.floor(1000 * math.log((2 * documents + 2) / (2 * df[t] + 1)))
+                * (10**9 * c[t] // (1000 * c[t] + 20 * m))
+                for t in wanted
+                if t in c
+            )
+            if score > 0:
+                found.append((-score, i is None, i or 0, i))
+        for rank, (score, _, _, i) in enumerate(sorted(found)[:most], 1):
+            rows.append((item, rank, i, -score))
+    return sorted(rows, key=lambda row: [(v is not None, v) for v in row])
+
+
+def tables(spark, docs, items):
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame(items, "item_id long, text string")
+    clash = [f"'x' AS {name}" for name in ("id", "score", "rank", "n", "terms")]
+    return docs.selectExpr("*", *clash), items.selectExpr("*", *clash, "1 AS doc_id")
+
+
+def check(spark, docs, items, parts=3, **given):
+    left, right = tables(spark, docs, items)
+    got = search(left.repartition(parts), right, **given)
+    assert rows_of(got) == brute(docs, items, given.get("most", 50))
+
+
+def test_terms():
+    text = "Él 12-ab_Ç\0x{y}~Z `q\n中文,é É"
+    assert [t.decode() for some in terms(text) for t in some] == cut(text)
+    assert [*terms(None)] == [] and [*terms("")] == []
+
+
+def test_long_texts_are_cut_between_terms(monkeypatch):
+    monkeypatch.setattr(lexical_search, "SLICE_BYTES", 50)
+    for text in (LONG, "x" * 500 + " y", "é" * 200, "a-" * 300):
+        assert [t.decode() for some in terms(text) for t in some] == cut(text)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_random_tables(spark, monkeypatch, seed):
+    """Common and rare terms, hot documents, ties and repeated rows, in small blocks."""
+    monkeypatch.setattr(lexical_search, "AT_ONCE", 3)
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(80)]
+    chances = [1 / (i + 1) for i in range(80)]
+    docs = [(i, " ".join(rng.choices(words, chances, k=rng.randrange(1, 40)))) for i in range(400)]
+    docs += [(rng.randrange(500), docs[7][1]) for _ in range(200)]
+    items = [(i, " ".join(rng.choices(words, chances, k=rng.randrange(1, 12)))) for i in range(12)]
+    items += [(50, " ".join(words)), (51, "unseen"), (52, "unseen w0")]
+    check(spark, docs, items, most=rng.choice([1, 5, 50]))
+
+
+def test_small_blocks_of_documents(spark, monkeypatch, sf_dir):
+    monkeypatch.setattr(lexical_search, "BLOCK_DOCUMENTS", 17)
+    monkeypatch.setattr(lexical_search, "BLOCK_POSTINGS", 100)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    want = brute([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()])
+    assert rows_of(search(docs, items)) == want
+    assert rows_of(search(docs, items, item_bytes=500)) == want
+
+
+def test_odd_rows(spark):
+    docs = [(i, t) for i, t, _, _ in ODD] + [(None, "the same text twice"), (-(1 << 63), "same text"), ((1 << 63) - 1, "same text")]
+    items = [(1, "the SAME text"), (1, "word12"), (None, "no id"), (None, "line"), (2, None), (3, ""), (4, "-- ,"), (5, "é naïve 中文 many"), (6, LONG)]
+    check(spark, docs, items)
+    check(spark, docs, items, parts=1)
+
+
+def test_empty_tables(spark):
+    docs, items = [(1, "a b"), (2, None)], [(1, "a")]
+    check(spark, [], items)
+    check(spark, docs, [])
+    check(spark, [(1, None), (2, "--")], items)
+    check(spark, [(1, "a")], [(1, "a"), (2, None)])
+
+
+def test_equal_scores_go_by_id(spark):
+    docs = [(i, "alpha beta") for i in (*range(300, 0, -1), None)] + [(1000 + i, "gamma") for i in range(300)]
+    check(spark, docs, [(1, "alpha"), (2, "beta alpha gamma")], parts=5)
+
+
+def test_groups_below_the_worst_kept_are_left_out(monkeypatch):
+    """Distinct masks are evaluated from the highest sum on, and the rest is not looked at."""
+    monkeypatch.setattr(lexical_search, "AT_ONCE", 1)
+    n = 5000
+    ids = np.arange(n)
+    of = np.concatenate([ids, ids[:60]])
+    term = np.concatenate([np.zeros(n, int), np.ones(60, int)])
+    block = lexical_search.Block(
+        ids, np.zeros(n, bool), np.full(n, 100), of, term, np.ones(len(of), int)
+    )
+    looked = []
+    plain = np.searchsorted
+
+    def counted(a, v, *rest, **more):
+        if np.ndim(v) == 1:
+            looked.append(len(v))
+        return plain(a, v, *rest, **more)
+
+    nothing = (np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64))
+    monkeypatch.setattr(np, "searchsorted", counted)
+    scores, _, found = block.best(np.array([0, 1]), np.array([1, 1000]), nothing, 50)
+    assert found.tolist() == [*range(50)] and len(set(scores.tolist())) == 1
+    assert sum(looked) < 500
+
+
+def test_very_long_documents(spark):
+    big = 3 << 40
+    assert lexical_search.lengths_of(np.array([big]), 1 << 30, 1 << 50).tolist() == [
+        50 + 50 * big * (1 << 30) // (1 << 50)
+    ]
+    block = lexical_search.Block(
+        np.array([7]), np.array([False]), np.array([100]), np.array([0]), np.array([0]), np.array([1 << 35])
+    )
+    assert block.value.tolist() == [10**9 * (1 << 35) // (1000 * (1 << 35) + 2000)]

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from waybill.llm import (
     language,
+    lexical_search,
     licenses,
     line_dedup,
     mixing,
@@ -16,8 +17,10 @@ from waybill.llm import (
     packing,
     quality,
     simhash,
+    token_counts,
     token_files,
     toxicity,
+    whitening,
 )
 from waybill.llm.shared import new_folder, table
 from waybill.llm.tokens import CACHED_WORDS_ALONE
@@ -76,6 +79,21 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), model)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
     "op2_mixing": op2_mixing,
@@ -87,10 +105,14 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_licenses": op9_licenses,
     "op10_language": op10_language,
+    "op11_token_counts": op11_token_counts,
+    "op12_whitening": op12_whitening,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 SQL: dict[str, str] = {
     "op2_mixing": mixing.SQL,
     "op6_line_dedup": line_dedup.SQL,
     "op9_licenses": licenses.sql(),
+    "op13_lexical_search": lexical_search.SQL,
 }
