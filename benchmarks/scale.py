@@ -20,10 +20,12 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from waybill.functions.exact import with_parts  # noqa: E402
 from waybill.operators.attributes import with_keys  # noqa: E402
 from waybill.operators.normalize import canonical_trips, normalize_all  # noqa: E402
 from waybill.operators.quality import clean_trips, valid_trips  # noqa: E402
 from waybill.plans import reports, summary  # noqa: E402
+from waybill.plans.metrics import trip_totals, with_metrics  # noqa: E402
 from waybill.schema import TIME_PREFIX  # noqa: E402
 from waybill.sources import lineitem  # noqa: E402
 from waybill.sources.parquet import read_trips, read_zones  # noqa: E402
@@ -62,8 +64,9 @@ def plain_valid(clean: DataFrame) -> DataFrame:
 
 
 def group(report: reports.Report, trips: DataFrame, zones: DataFrame) -> DataFrame:
-    groups = with_keys(trips, report.by).groupBy(*report.by)
-    return reports.finish(report, groups.agg(*(m.over_trips() for m in report.metrics)), zones)
+    parts = with_parts(with_keys(trips, report.by), report.measures)
+    totals = trip_totals(parts, report.by, report.measures)
+    return reports.finish(report, with_metrics(totals, report.by, report.metrics), zones)
 
 
 def main(copies: int, folder: str) -> None:

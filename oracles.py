@@ -6,20 +6,31 @@ import re
 
 _HALF_UP = re.compile(r"half_up\((sum|avg)\((\w+)\)(?: / (\d+))?, 2\)")
 
-# The measures of the reports.
-_MEASURES = (
-    "total_amount",
-    "fare_amount",
-    "tip_amount",
-    "tolls_amount",
-    "congestion_surcharge",
-    "trip_distance",
-    "avg_speed_mph",
-    "trip_duration_min",
-)
+# The measures of the reports, and the slices that add each of them up.
+_MEASURES = {
+    "total_amount": "'codes', 'pickup', 'dropoff', 'clock'",
+    "fare_amount": "'codes'",
+    "tip_amount": "'codes', 'clock'",
+    "tolls_amount": "'codes'",
+    "congestion_surcharge": "'codes'",
+    "trip_distance": "'codes'",
+    "avg_speed_mph": "'pickup'",
+    "trip_duration_min": "'pickup'",
+}
+
+
+def _decimal(measure: str) -> str:
+    """An amount as its own decimal text says, to the 18th place."""
+    return f"CAST(CAST({measure} AS VARCHAR) AS DECIMAL(38, 18))"
+
+
 _MEASURE_SUMS = ", ".join(
-    f"CAST(sum(CAST({m} AS DECIMAL(38, 6))) * 1000000 AS BIGINT) AS {m}, count({m}) AS {m}_n"
-    for m in _MEASURES
+    f"sum({_decimal(m)}) AS {m}, count({m}) AS {m}_n" for m in _MEASURES
+)
+_MEASURES_SHOWN = ", ".join(
+    f"CASE WHEN slice IN ({slices}) THEN CAST(round({m}, 9) AS DOUBLE) END AS {m},"
+    f" CASE WHEN slice IN ({slices}) THEN {m}_n END AS {m}_n"
+    for m, slices in _MEASURES.items()
 )
 
 _RELATIONS = """
@@ -202,7 +213,9 @@ LEFT JOIN zones z ON t."DOLocationID" = z."LocationID" """,
     (service_type, valid, "PULocationID"), (service_type, valid, "DOLocationID"),
     (service_type, valid, hour, weekday))
 )
-SELECT * FROM grouped WHERE slice = 'codes' OR valid""",
+SELECT service_type, valid, payment_type, "RatecodeID", year, recent, "PULocationID",
+  "DOLocationID", hour, weekday, slice, trip_rows, {_MEASURES_SHOWN}
+FROM grouped WHERE slice = 'codes' OR valid""",
 }
 
 
@@ -210,13 +223,15 @@ def _exact(match: re.Match) -> str:
     """Half-up rounding of an exact total or mean, in whole numbers only.
 
     ROUND on a DOUBLE works on its binary value there and takes 14.215 for a
-    little less, so amounts are added as decimals and rounded as integers.
+    little less, so amounts are added as decimals of 18 places and the total is
+    rounded as an integer of units of 10^-18.
     """
     aggregate, measure, per = match.groups()
-    total = f"CAST(sum(CAST({measure} AS DECIMAL(38, 6))) * 1000000 AS HUGEINT)"
+    total = f"CAST(replace(CAST(sum({_decimal(measure)}) AS VARCHAR), '.', '') AS HUGEINT)"
     parts = f"count({measure})" if aggregate == "avg" else (per or "1")
-    unit = f"({parts} * 10000)"
-    return f"CAST(sign({total}) * ((2 * abs({total}) + {unit}) // (2 * {unit})) AS DOUBLE) / 100"
+    # Half a hundredth of the whole is this many units for each row that shares it.
+    unit = f"({parts} * CAST(5000000000000000 AS HUGEINT))"
+    return f"CAST(sign({total}) * ((abs({total}) // {unit} + 1) // 2) AS DOUBLE) / 100"
 
 
 def _spell_out(sql: str) -> str:

@@ -9,8 +9,6 @@ branch.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,38 +26,3 @@ def round_half_up(value: Column) -> Column:
     # Adding zero turns -0.0 into 0.0, as rounding through text does.
     fast = nearest / F.lit(100.0) + F.lit(0.0)
     return F.when(off_tie & in_range, fast).otherwise(F.round(value, 2))
-
-
-# Amounts are added as whole units and millionths, two longs.
-_MILLION = 1_000_000
-# Beyond this, and for NaN and infinity, an amount is added as a double.
-_ADDED_EXACTLY_BELOW = 1e9
-_LONG = "decimal(20,0)"
-
-
-def exact_parts(value: Column) -> tuple[Column, Column, Column]:
-    """Whole units, millionths and, for amounts that don't fit, the double itself.
-
-    Sums of longs are the same in any order, so a total does not depend on how
-    its rows were spread over partitions. An amount counts to its millionth;
-    each part is NULL where the amount is NULL or belongs to the other parts.
-    """
-    amount = value.cast("double")
-    fits = F.abs(amount) < F.lit(_ADDED_EXACTLY_BELOW)
-    whole = F.floor(amount)
-    millionths = F.rint((amount - whole) * F.lit(float(_MILLION))).cast("long")
-    return F.when(fits, whole), F.when(fits, millionths), F.when(~fits, amount)
-
-
-def round_total(whole: Column, millionths: Column, double: Column, per: Column) -> Column:
-    """Sums of ``exact_parts`` divided by ``per``, rounded half up to two decimals, once.
-
-    NULL without any amount. If some amounts were added as doubles, the total
-    is a double sum with its usual noise.
-    """
-    exact = whole.cast(_LONG) + millionths.cast(_LONG) * F.lit(Decimal(1) / _MILLION)
-    as_decimal = F.round(F.try_divide(exact, per.cast(_LONG)), 2).cast("double")
-    with_doubles = F.coalesce(exact.cast("double"), F.lit(0.0)) + double
-    return F.when(double.isNull(), as_decimal).otherwise(
-        F.round(F.try_divide(with_doubles, per), 2)
-    )

@@ -1,9 +1,10 @@
-"""Report metrics, each computable from trips or from partial totals.
+"""Report metrics, computed from partial totals.
 
-Every metric of the reports is a row count, a total or a mean, so it can be
-taken straight from trips (``over_trips``) or merged from the sums and counts
-of an earlier aggregation (``over_totals``). Both give the same value and type:
-counts are long, totals and means double, whatever number type a source uses.
+Every metric of the reports is a row count, a total or a mean. Trips are added
+up per group and layer (``partial_totals``); whatever holds such sums, trips of
+one report or the summary of a shared scan, gives the same value and type
+(``group_totals``): counts are long, totals and means double, whatever number
+type a source uses.
 """
 
 from __future__ import annotations
@@ -14,52 +15,65 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waybill.functions.rounding import exact_parts, round_total
+from waybill.functions.exact import LAYER, PARTS, USUAL, limbs_of, round_total
 
 ROWS = "trip_rows"
-
-# What is kept of a measure: the three sums of ``exact_parts`` and a count.
-PARTS = ("whole", "millionths", "double")
-
-
-def with_parts(trips: DataFrame, measures: Iterable[str]) -> DataFrame:
-    """Trips with the parts of every measure, computed once per trip for all slices."""
-    return trips.withColumns(
-        {
-            f"{measure}_{part}": value
-            for measure in measures
-            for part, value in zip(PARTS, exact_parts(F.col(measure)))
-        }
-    )
+LIMBS = "limbs"
 
 
 def partial_totals(measures: Iterable[str]) -> list[Column]:
-    """The row count, and sums of the parts and a non-NULL count for every measure."""
+    """The row count, and sums of the parts and a non-NULL count for every measure.
+
+    They are right per layer: the counts that matter are those of layer 0.
+    """
     totals = [F.count("*").alias(ROWS)]
     for measure in measures:
         names = [f"{measure}_{part}" for part in PARTS]
         totals += [F.sum(name).alias(name) for name in names]
-        totals.append(F.count(measure).alias(f"{measure}_n"))
+        totals.append(F.count(names[0]).alias(f"{measure}_n"))
     return totals
 
 
-def _sums(measure: str) -> list[Column]:
-    return [F.sum(value) for value in exact_parts(F.col(measure))]
+def _across_layers(per_layer: DataFrame, by: list[str], measures: list[str]) -> DataFrame:
+    """Sums of layer 0, and in an array those of other layers, of rows per group and layer."""
+    names = [ROWS, *_names(measures)]
+    sums = [F.expr(f"sum(IF({LAYER} = {USUAL}, {name}, NULL))").alias(name) for name in names]
+    return per_layer.groupBy(*by).agg(*sums, limbs_of(measures).alias(LIMBS))
+
+
+def _names(measures: Iterable[str]) -> list[str]:
+    return [f"{measure}_{name}" for measure in measures for name in (*PARTS, "n")]
 
 
-def _merged(measure: str) -> list[Column]:
-    return [F.sum(f"{measure}_{part}") for part in PARTS]
+def trip_totals(trips: DataFrame, by: Iterable[str], measures: Iterable[str]) -> DataFrame:
+    """Totals per group of trips ``with_parts``."""
+    by, measures = list(by), list(dict.fromkeys(measures))
+    per_layer = trips.groupBy(*by, LAYER).agg(*partial_totals(measures))
+    if not measures:
+        return per_layer
+    return _across_layers(per_layer, by, measures)
+
+
+def group_totals(
+    rows: DataFrame, by: Iterable[str], measures: Iterable[str], limbs: bool = True
+) -> DataFrame:
+    """The same from rows of partial totals, each of one layer.
+
+    Without ``limbs`` all rows must be of layer 0; then one aggregation will do.
+    """
+    by, measures = list(by), list(dict.fromkeys(measures))
+    sums = [F.sum(name).alias(name) for name in (ROWS, *_names(measures))]
+    if not limbs:
+        return rows.groupBy(*by).agg(*sums)
+    return _across_layers(rows.groupBy(*by, LAYER).agg(*sums), by, measures)
 
 
 @dataclass(frozen=True)
 class Rows:
     name: str
 
-    def over_trips(self) -> Column:
-        return F.count("*").alias(self.name)
-
-    def over_totals(self) -> Column:
-        return F.sum(ROWS).alias(self.name)
+    def value(self, limbs: str | None) -> Column:
+        return F.col(ROWS).alias(self.name)
 
 
 @dataclass(frozen=True)
@@ -68,11 +82,8 @@ class Total:
     measure: str
     per: int = 1
 
-    def over_trips(self) -> Column:
-        return round_total(*_sums(self.measure), F.lit(self.per)).alias(self.name)
-
-    def over_totals(self) -> Column:
-        return round_total(*_merged(self.measure), F.lit(self.per)).alias(self.name)
+    def value(self, limbs: str | None) -> Column:
+        return round_total(self.measure, str(self.per), limbs).alias(self.name)
 
 
 @dataclass(frozen=True)
@@ -80,9 +91,11 @@ class Mean:
     name: str
     measure: str
 
-    def over_trips(self) -> Column:
-        return round_total(*_sums(self.measure), F.count(self.measure)).alias(self.name)
+    def value(self, limbs: str | None) -> Column:
+        return round_total(self.measure, f"{self.measure}_n", limbs).alias(self.name)
+
 
-    def over_totals(self) -> Column:
-        present = F.sum(f"{self.measure}_n")
-        return round_total(*_merged(self.measure), present).alias(self.name)
+def with_metrics(totals: DataFrame, by: Iterable[str], metrics: Iterable) -> DataFrame:
+    """The metrics of groups from their ``group_totals``."""
+    limbs = LIMBS if LIMBS in totals.columns else None
+    return totals.select(*by, *(metric.value(limbs) for metric in metrics))

@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.functions import calendar
+from waybill.functions.exact import with_parts
 from waybill.operators.attributes import with_keys
 from waybill.operators.quality import valid_trips
 from waybill.operators.zones import with_zone
-from waybill.plans.metrics import Mean, Rows, Total
+from waybill.plans.metrics import Mean, Rows, Total, trip_totals, with_metrics
 from waybill.rules import DEFAULT_RULES, Rules
 
 TRIPS_VIEW = "trips"
@@ -214,9 +215,6 @@ def build(
     if report.scope == RECENT:
         return trips_per_service(clean, rules)
     trips = valid_trips(clean, rules) if report.scope == VALID else clean
-    groups = (
-        with_keys(trips, report.by, rules)
-        .groupBy(*report.by)
-        .agg(*(metric.over_trips() for metric in report.metrics))
-    )
-    return finish(report, groups, zones)
+    parts = with_parts(with_keys(trips, report.by, rules), report.measures)
+    totals = trip_totals(parts, report.by, report.measures)
+    return finish(report, with_metrics(totals, report.by, report.metrics), zones)
