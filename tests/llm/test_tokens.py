@@ -14,12 +14,11 @@ from waybill.llm import packing, token_files, tokens
 
 VOCABULARIES = {"byte_bpe_50k.json": 2, "word_bpe_49k.json": 0}
 PARTS = ["a", "b", "the", " ", "  ", "\n", "\n\n", "\t", ",", ".", "'s", "%%%", "é", "É", " "]
-PARTS += ["　", "\r\n", "\x1c", "\x00", "<|endoftext|>", "1", "23", "中文", "́", "Σ", "İ", "_"]
+PARTS += ["　", "\r\n", "\x1c", "\x00", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "1", "23", "中文", "́", "Σ", "İ", "_"]
 
 
 def library(name, texts, end):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
     encoded = tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
     return [[*e.ids, end] for e in encoded]
 
@@ -44,6 +43,18 @@ def test_ids_equal_the_library(name, size, monkeypatch):
     assert ours(encoder, texts) == library(name, texts, VOCABULARIES[name])
 
 
+@pytest.mark.parametrize("name", VOCABULARIES)
+def test_special_strings_are_their_tokens_unless_asked_otherwise(name):
+    path = public_tokenizers.path(name)
+    texts = ["one <|endoftext|> two", "<|endoftext|>", "x<|startoftext|>y " * 3, "plain words"]
+    assert ours(tokens.Encoder(path, 0), texts) == library(name, texts, 0)
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    want = [[*plain.encode(text, add_special_tokens=False).ids, 0] for text in texts]
+    assert ours(tokens.Encoder(path, 0, special_as_text=True), texts) == want
+    assert want != library(name, texts, 0)
+
+
 def test_parts_are_the_text():
     text = "one two  three\n four five " * 50
     assert "".join(tokens.parts(text, 20)) == text
@@ -159,6 +170,83 @@ def test_pieces_keep_their_columns_and_buckets_their_size(spark):
     assert len({r.sequence_id for r in rows}) <= sum(r.length for r in rows) / 100 * 1.02 + 6
 
 
+def test_equal_rows_are_spread_over_buckets(spark, tmp_path):
+    """A third of the rows alike, as NULL ids with empty texts are."""
+    pieces = spark.range(3000).selectExpr("if(id % 3 = 0, NULL, id) AS id", "1 AS length")
+    pieces.write.parquet(f"{tmp_path}/pieces")
+    stored = spark.read.parquet(f"{tmp_path}/pieces")
+    packed = packing.pack(stored, ["id"], 100, bucket_pieces=500)
+    rows = packed.selectExpr("*", "spark_partition_id() AS task").collect()
+    buckets = {}
+    for row in rows:
+        buckets.setdefault(row.sequence_id >> 40, []).append(row)
+    assert len(buckets) == 6
+    for mine in buckets.values():
+        assert 400 <= len(mine) <= 600
+        assert 100 <= sum(row.id is None for row in mine) <= 250
+        assert len({row.task for row in mine}) == 1
+    assert len({mine[0].task for mine in buckets.values()}) == 6
+
+
+def test_several_buckets_in_a_task(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(packing, "MOST_TASKS", 2)
+    pieces = spark.range(3000).selectExpr("id", "1 + id * 7919 % 100 AS length")
+    pieces.write.parquet(f"{tmp_path}/pieces")
+    rows = packing.pack(spark.read.parquet(f"{tmp_path}/pieces"), ["id"], 100, bucket_pieces=500)
+    sequences = {}
+    for row in rows.collect():
+        sequences.setdefault(row.sequence_id, []).append((row.offset, row.length))
+    for placed in sequences.values():
+        ends = [0, *(offset + length for offset, length in sorted(placed))]
+        assert [offset for offset, _ in sorted(placed)] == ends[:-1] and ends[-1] <= 100
+    assert len({sequence >> 40 for sequence in sequences}) == 6
+
+
+def bounded_best_fit(lengths, size, most_open):
+    """As the method says it: the fullest bin that has room, else a new one; the fullest closes."""
+    filled, open_, placed = [], [], []
+    for length in lengths:
+        fitting = [b for b in open_ if filled[b] + length <= size]
+        if fitting:
+            fullest = max(filled[b] for b in fitting)
+            found = [b for b in fitting if filled[b] == fullest]
+        else:
+            filled.append(0)
+            found = [len(filled) - 1]
+            open_.append(found[0])
+        placed.append((found, filled[found[0]]))
+        yield placed[-1]
+        chosen = yield
+        filled[chosen] += length
+        open_ = [b for b in open_ if filled[b] < size]
+        if len(open_) > most_open:
+            most = max(filled[b] for b in open_)
+            closed = yield [b for b in open_ if filled[b] == most]
+            open_.remove(closed)
+
+
+@pytest.mark.parametrize("most_open", [1, 2, 5, 17])
+def test_bins_close_the_fullest(most_open):
+    """Every placement and closing is one that the method allows."""
+    draw, bins = random.Random(most_open), packing.Bins(50, most_open)
+    lengths = [draw.randint(1, 50) for _ in range(1500)]
+    plain = bounded_best_fit(lengths, 50, most_open)
+    step = next(plain)
+    for length in lengths:
+        allowed, offset = step
+        found, at = bins.place(length)
+        assert found in allowed and at == offset
+        next(plain)
+        try:
+            step = plain.send(found)
+            if isinstance(step, list):
+                open_now = {b for group in bins.by_free for b in group}
+                (closed,) = [b for b in step if b not in open_now]
+                step = plain.send(closed)
+        except StopIteration:
+            break
+
+
 @pytest.mark.parametrize("most_open", [1, 4, 1000])
 def test_bins(most_open):
     draw, bins, filled = random.Random(most_open), packing.Bins(50, most_open), {}

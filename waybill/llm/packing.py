@@ -5,7 +5,8 @@ bin that it leaves with the least room, and is given out at once with its
 sequence and offset. Open bins are kept by free space, with one bit of an
 integer per value of free space that some bin has, so the best bin is a shift
 and a lowest set bit away. Beyond a fixed number of open bins the fullest one
-closes. A task holds the open bins and nothing else, however many pieces pass.
+closes, the one that has just been filled included. A task holds the open bins
+and nothing else, however many pieces pass.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ SEQUENCE_TOKENS = 2048
 OPEN_BINS = 32_768
 #: Pieces that share bins. More of them waste less room; fewer spread wider.
 BUCKET_PIECES = 65_536
+#: Tasks that pack, at most; beyond, a task packs several buckets one after the other.
+MOST_TASKS = 20_000
 
 
 class Bins:
@@ -58,11 +61,11 @@ class Bins:
             self.made += 1
         left = free - length
         if left:
-            if self.open == self.most_open:
-                self._take((self.present & -self.present).bit_length() - 1)
             self.by_free[left].append(found)
             self.present |= 1 << left
             self.open += 1
+            if self.open > self.most_open:
+                self._take((self.present & -self.present).bit_length() - 1)
         return found, self.size - free
 
 
@@ -125,11 +128,11 @@ def pack(
 ) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; lengths are 1 to ``size``.
 
-    Pieces are dealt over buckets of about ``bucket_pieces`` by a hash of
-    ``key``, so their number grows with the input and no task's share does.
-    Within a bucket the longest come first, which lets short ones fill the
-    gaps. Rows equal in ``key`` and length are interchangeable. ``pieces``
-    should be a stored table, as it is counted first.
+    Pieces are dealt in turn over buckets of about ``bucket_pieces``, whatever
+    they hold, so that equal rows are as spread as any; the number of buckets
+    grows with the input and no bucket does. Within a bucket the longest come
+    first, which lets short ones fill the gaps. ``pieces`` must be a stored
+    table: it is counted first, and its files give the turns.
     """
     ship(pieces.sparkSession)
     buckets = max(1, -(-pieces.count() // bucket_pieces))
@@ -156,9 +159,10 @@ def pack(
                 names=[*kept.schema.names, "sequence_id", "offset"],
             )
 
-    dealt = pieces.withColumn(bucket, F.pmod(F.xxhash64(*key), F.lit(buckets)))
+    turn = F.pmod(F.monotonically_increasing_id(), F.lit(buckets)).cast("int")
+    dealt = pieces.withColumn(bucket, turn)
     return (
-        dealt.repartition(buckets, bucket)
+        dealt.repartitionById(min(buckets, MOST_TASKS), bucket)
         .sortWithinPartitions(bucket, F.desc(length_column), *key)
         .mapInArrow(place, schema)
     )

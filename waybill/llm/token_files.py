@@ -106,8 +106,21 @@ def write_token_files(
         out.write(json.dumps({"dtype": dtype, "shards": listed}).encode())
 
 
+class Ranges:
+    """A flat file of numbers in a store that cannot be mapped; slices are read as they are asked for."""
+
+    def __init__(self, file: pa.NativeFile, dtype: str) -> None:
+        self.file, self.dtype = file, np.dtype(dtype)
+
+    def __getitem__(self, at: slice) -> np.ndarray:
+        size = self.dtype.itemsize
+        return np.frombuffer(
+            self.file.read_at((at.stop - at.start) * size, at.start * size), self.dtype
+        )
+
+
 class Shard:
-    """One shard, memory-mapped where its file system is a mounted one."""
+    """One shard, memory-mapped where its file system is a mounted one and read by ranges elsewhere."""
 
     def __init__(self, folder: str, name: str, dtype: str) -> None:
         self.folder, self.name, self.dtype = folder, name, dtype
@@ -115,20 +128,29 @@ class Shard:
         self.doc_ids = self._open("ids", "<i8")
         self.tokens = self._open("bin", dtype)
 
-    def _open(self, kind: str, dtype: str) -> np.ndarray:
+    def _open(self, kind: str, dtype: str) -> np.ndarray | Ranges:
         store, path = fs.FileSystem.from_uri(f"{self.folder}/{self.name}.{kind}")
         if store.get_file_info(path).size == 0:
             return np.empty(0, dtype)  # an empty file cannot be mapped
         if isinstance(store, fs.LocalFileSystem):
             return np.memmap(path, dtype, mode="r")
+        if kind == "bin":
+            return Ranges(store.open_input_file(path), dtype)
         with store.open_input_file(path) as file:
             return np.frombuffer(file.read(), dtype)
 
     def __len__(self) -> int:
         return len(self.offsets) - 1
 
+    def documents(self, first: int, stop: int) -> Iterator[np.ndarray]:
+        """The ids of some documents in a row, read together."""
+        bounds = self.offsets[first : stop + 1].astype(np.int64)
+        ids = self.tokens[int(bounds[0]) : int(bounds[-1])]
+        for start, end in zip(bounds - bounds[0], bounds[1:] - bounds[0]):
+            yield ids[start:end]
+
     def document(self, i: int) -> np.ndarray:
-        return self.tokens[int(self.offsets[i]) : int(self.offsets[i + 1])]
+        return next(self.documents(i, i + 1))
 
 
 def read_manifest(folder: str) -> dict:
@@ -152,9 +174,10 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             for listed in batch.to_pylist():
                 shard = Shard(folder, listed["path"], dtype)
-                for first in range(0, len(shard), 10_000):
-                    at = range(first, min(first + 10_000, len(shard)))
-                    crcs = [zlib.crc32(shard.document(i).astype("<u4")) for i in at]
+                for first in range(0, len(shard), 2_000):
+                    at = range(first, min(first + 2_000, len(shard)))
+                    own = shard.documents(first, at.stop)
+                    crcs = [zlib.crc32(ids.astype("<u4")) for ids in own]
                     starts = shard.offsets[first : first + len(at)].astype("i8")
                     ends = shard.offsets[first + 1 : first + 1 + len(at)].astype("i8")
                     unnamed = np.arange(first, first + len(at)) < listed["null_ids"]

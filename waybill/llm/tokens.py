@@ -4,7 +4,8 @@ Running text repeats its words. A task cuts a slice of texts into words,
 numbers the distinct ones, looks up or encodes each of those once, and gathers
 the ids of all texts from them by position. Cutting is exact only where a
 tokenizer cannot see across the cut, which ``_cuts`` decides from its
-definition; other tokenizers and texts go through the library whole.
+definition; other tokenizers and texts, such as those that hold the string of a
+special token, go through the library whole.
 """
 
 from __future__ import annotations
@@ -83,17 +84,26 @@ def parts(text: str, size: int) -> Iterator[str]:
 class Encoder:
     """Texts to ids, each text's followed by an end id."""
 
-    def __init__(self, path: str, end_id: int, cached_words: int = CACHED_WORDS) -> None:
+    def __init__(
+        self,
+        path: str,
+        end_id: int,
+        cached_words: int = CACHED_WORDS,
+        special_as_text: bool = False,
+    ) -> None:
         with open(path, encoding="utf-8") as file:
             definition = json.load(file)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         self.tokenizer = Tokenizer.from_file(path)
-        # Strings like <|endoftext|> in a text are text, not ends of documents.
-        self.tokenizer.encode_special_tokens = True
+        # Strings like <|endoftext|> in a text are that token, as the library has it by default.
+        self.tokenizer.encode_special_tokens = special_as_text
+        self.added = [] if special_as_text else definition.get("added_tokens", [])
         self.dtype = id_type(path, end_id)
         self.code = np.dtype(self.dtype).char
         self.end = np.array([end_id], self.dtype).tobytes()
         self.cuts = _cuts(definition)
+        if any(re.search(r"\s", token["content"]) for token in self.added):
+            self.cuts = None
         self.cached_words = cached_words
         self.known: dict[str, bytes] = {_MARK * 2: self.end}
         if self.cuts:
@@ -172,7 +182,13 @@ class Encoder:
     def _hard(self, texts: pa.Array) -> pa.Array:
         if self.cuts is None:
             return pa.array([True] * len(texts))
-        return pc.match_substring_regex(texts, _HARD if self.cuts == "before" else r"\x00")
+        hard = pc.match_substring_regex(texts, _HARD if self.cuts == "before" else r"\x00")
+        for token in self.added:
+            # Words are folded before the library sees them, which must not make a token of text.
+            any_case = self.folds or bool(token.get("normalized"))
+            found = pc.match_substring(texts, token["content"], ignore_case=any_case)
+            hard = pc.or_(hard, found)
+        return hard
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Per slice of ``texts``: the ids of its texts, back to back, and each text's number of ids.
@@ -200,9 +216,11 @@ class Encoder:
 
 
 @functools.cache
-def encoder(path: str, end_id: int, cached_words: int = CACHED_WORDS) -> Encoder:
+def encoder(
+    path: str, end_id: int, cached_words: int = CACHED_WORDS, special_as_text: bool = False
+) -> Encoder:
     """One encoder per worker process, with the words it has met."""
-    return Encoder(path, end_id, cached_words)
+    return Encoder(path, end_id, cached_words, special_as_text)
 
 
 def id_type(path: str, end_id: int) -> str:
