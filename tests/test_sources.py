@@ -1,0 +1,95 @@
+"""Reading files whose schemas differ."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+import trip_rows
+from waybill.operators.normalize import normalize
+from waybill.plans import job
+from waybill.sources.parquet import read_drifting, read_trips
+
+
+def parts(spark):
+    """Three months of one service: longs, doubles, and a column that is not there yet."""
+    base = trip_rows.raw(spark, {}, {"total_amount": 21.5, "RatecodeID": 2})
+    first = base.withColumns({c: F.col(c).cast("long") for c in ("payment_type", "RatecodeID")})
+    second = base.withColumns({c: F.col(c).cast("double") for c in ("payment_type", "RatecodeID")})
+    third = base.drop("congestion_surcharge").withColumn("payment_type", F.col("payment_type").cast("int"))
+    return [first, second, third]
+
+
+@pytest.fixture
+def months(spark, tmp_path):
+    for i, part in enumerate(parts(spark)):
+        part.coalesce(1).write.parquet(f"{tmp_path}/trips/month{i}")
+    return f"{tmp_path}/trips/*"
+
+
+def rows(frame):
+    return sorted(map(str, frame.collect()))
+
+
+def test_a_glob_of_different_types_equals_the_union_of_its_parts(spark, months):
+    got = read_trips(spark, months)
+    first, second, third = parts(spark)
+    want = first.unionByName(second).unionByName(third, allowMissingColumns=True)
+    assert dict(got.dtypes) == dict(want.dtypes)
+    assert dict(got.dtypes)["payment_type"] == "double"
+    assert rows(got.select(*want.columns)) == rows(want)
+    assert got.filter("congestion_surcharge IS NULL").count() == third.count()
+
+
+def test_columns_that_come_later_are_found_whichever_file_is_first(spark, tmp_path):
+    base = trip_rows.raw(spark, {})
+    for folder, order in (("a", (1, 0)), ("b", (0, 1))):
+        frames = (base, base.drop("congestion_surcharge"))
+        for i in order:
+            frames[i].coalesce(1).write.parquet(f"{tmp_path}/{folder}/part{order.index(i)}")
+        got = normalize(read_trips(spark, f"{tmp_path}/{folder}/*"), "green")
+        assert got.count() == 2 and got.filter("congestion_surcharge IS NULL").count() == 1
+
+
+def test_one_read_per_schema(spark, tmp_path):
+    frames = parts(spark)[:2]
+    for i in range(6):
+        frames[i % 2].coalesce(1).write.parquet(f"{tmp_path}/t/part{i}")
+    got = read_trips(spark, f"{tmp_path}/t/*")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+    assert got.count() == 12
+
+
+def test_kinds_that_do_not_widen_are_an_error(spark, tmp_path):
+    base = trip_rows.raw(spark, {})
+    base.write.parquet(f"{tmp_path}/t/a")
+    base.withColumn("payment_type", F.lit("card")).write.parquet(f"{tmp_path}/t/b")
+    with pytest.raises(ValueError, match="payment_type"):
+        read_trips(spark, f"{tmp_path}/t/*")
+
+
+def test_pruning_reaches_every_group(spark, months):
+    plan = read_trips(spark, months).select("total_amount")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReadSchema: struct<total_amount:double>") == 3
+
+
+def test_the_job_on_drifting_months(spark, months, tmp_path):
+    trip_rows.raw(spark, {}, service="yellow").write.parquet(f"{tmp_path}/yellow")
+    spark.createDataFrame([(7, "a")], "LocationID int, Zone string").write.parquet(f"{tmp_path}/zones")
+    outcomes = []
+    for shared in (True, False):
+        paths = job.run(
+            spark, months, f"{tmp_path}/yellow", f"{tmp_path}/zones", f"{tmp_path}/out{shared}",
+            shared_scan=shared, staging=f"{tmp_path}/s",
+        )
+        outcomes.append([rows(spark.read.parquet(path)) for path in paths.values()])
+    assert outcomes[0] == outcomes[1]
+    counts = spark.read.parquet(paths["trips_per_service_type"]).collect()
+    assert {r.service_type: r.total_trips for r in counts} == {"green": 6, "yellow": 1}
+
+
+def test_files_of_one_schema_are_one_read(spark, tmp_path):
+    trip_rows.raw(spark, {}, {}).repartition(2).write.parquet(f"{tmp_path}/t")
+    files = read_trips(spark, f"{tmp_path}/t").inputFiles()
+    assert read_drifting(spark, files).count() == 2

@@ -3,38 +3,54 @@
 from __future__ import annotations
 
 import argparse
+import json
 import logging
-import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from waybill.operators.normalize import normalize_all, union_trips
 from waybill.operators.quality import clean_trips
-from waybill.plans.reports import REPORTS, Report, build, register_trips
-from waybill.plans.summary import SLICE, report_from_summary, source_counts, summarize
+from waybill.plans import resume
+from waybill.plans.reports import FARES, REPORTS, Report, build, register_trips
+from waybill.plans.summary import (
+    SLICE,
+    has_limbs,
+    report_from_summary,
+    source_counts,
+    summarize,
+)
 from waybill.rules import DEFAULT_RULES, Rules
 from waybill.schema import SERVICE
 from waybill.sinks.parquet import write_report
+from waybill.sinks.publish import publish
 from waybill.sources.parquet import read_trips, read_zones
 
 log = logging.getLogger(__name__)
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+LOG_LEVEL = "INFO"
+# The report whose scan counts the raw trips if there is no shared one.
+COUNTING = FARES
 
 
-def stage(spark: SparkSession, summary: DataFrame, staging: str) -> DataFrame:
+def stage(
+    spark: SparkSession, summary: DataFrame, staging: str, made_from: dict | None = None
+) -> DataFrame:
     """Write the summary below ``staging`` and return it as read back.
 
     The copy outlives any executor, so no report repeats the scan behind it,
     and each report reads the files of its own slice only. It is not removed:
     the owner of the folder expires it, like checkpoints.
     """
-    path = f"{staging.rstrip('/')}/_trip_summary-{uuid.uuid4().hex}"
+    path = resume.new_summary(staging, made_from)
     summary.write.partitionBy(SLICE).parquet(path)
+    if made_from:
+        resume.finished(spark, path, made_from, summary.schema.json())
     return spark.read.schema(summary.schema).parquet(path)
 
 
@@ -51,6 +67,32 @@ def staging_folder(spark: SparkSession, staging: str | None, output: str) -> str
     return folder
 
 
+def _summary(
+    spark: SparkSession,
+    canonical: Mapping[str, DataFrame],
+    rules: Rules,
+    staging: str,
+    made_from: dict | None,
+) -> DataFrame:
+    """The staged summary: of an earlier run that failed after it, or a new one."""
+    found = resume.find(spark, staging, made_from) if made_from else None
+    if found:
+        path, schema = found
+        log.info("going on with %s", path)
+        return spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(path)
+    return stage(spark, summarize(canonical, rules), staging, made_from)
+
+
+def _counted(canonical: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], dict]:
+    """The same trips, which count themselves per service while a report reads them."""
+    watches = {service: Observation() for service in canonical}
+    watched = {
+        service: trips.observe(watches[service], F.count(F.lit(1)).alias("row_count"))
+        for service, trips in canonical.items()
+    }
+    return watched, watches
+
+
 def write_reports(
     services: Mapping[str, DataFrame],
     zones: DataFrame,
@@ -58,40 +100,57 @@ def write_reports(
     rules: Rules = DEFAULT_RULES,
     shared_scan: bool = True,
     staging: str | None = None,
+    made_from: dict | None = None,
 ) -> dict[str, str]:
-    """Write all reports on raw trips below ``output``; returns name -> directory.
+    """Write all reports on raw trips and publish them below ``output``; returns name -> directory.
 
-    With ``shared_scan`` the trips are read once. Without, every report reads
-    the columns it needs, one report after the other.
+    With ``shared_scan`` the trips are read once; ``made_from`` lets a run go
+    on with the summary of one that failed. Without, every report reads the
+    columns it needs, one report after the other, and the first full scan
+    counts the trips. If any report fails, none is replaced.
     """
     spark = zones.sparkSession
     canonical = normalize_all(services)
-    trips = reduce(union_trips, canonical.values())
-    clean = clean_trips(trips, rules)
+    clean = clean_trips(reduce(union_trips, canonical.values()), rules)
     register_trips(clean)
 
+    def note(counts: dict[str, int]) -> None:
+        log.info("trips read: %s, %d in all", counts, sum(counts.values()))
+
+    summary, limbs, watches = None, True, {}
     if shared_scan:
         folder = staging_folder(spark, staging, output)
-        summary = stage(spark, summarize(canonical, rules), folder)
-        counted = source_counts(summary)
+        summary = _summary(spark, canonical, rules, folder, made_from)
+        note({row[SERVICE]: row["row_count"] for row in source_counts(summary).collect()})
+        limbs = has_limbs(summary)
     else:
-        counted = trips.groupBy(SERVICE).agg(F.count("*").alias("row_count"))
-    counts = {row[SERVICE]: row["row_count"] for row in counted.collect()}
-    log.info("trips read: %s, %d in all", counts, sum(counts.values()))
+        watched, watches = _counted(canonical)
+        counting = clean_trips(reduce(union_trips, watched.values()), rules)
 
-    def write(report: Report) -> tuple[str, str]:
+    def write(report: Report, fresh: str) -> None:
         if shared_scan:
-            frame = report_from_summary(report, summary, zones, rules)
+            frame = report_from_summary(report, summary, zones, rules, limbs)
         else:
-            frame = build(report, clean, zones, rules)
-        path = write_report(frame, output, report.name)
-        log.info("wrote %s", path)
-        return report.name, path
-
-    # Reports from the summary are tiny jobs, so they are submitted together;
-    # full scans would only get in each other's way.
-    with ThreadPoolExecutor(len(REPORTS) if shared_scan else 1) as pool:
-        return dict(pool.map(write, REPORTS))
+            frame = build(report, counting if report is COUNTING else clean, zones, rules)
+        write_report(frame, fresh, report.name)
+        if watches and report is COUNTING:
+            note({service: watch.get["row_count"] for service, watch in watches.items()})
+        log.info("wrote %s", report.name)
+
+    def write_all(fresh: str) -> None:
+        # Reports from the summary are tiny jobs, so they are submitted together;
+        # full scans would only get in each other's way.
+        with ThreadPoolExecutor(len(REPORTS) if shared_scan else 1) as pool:
+            for _ in pool.map(lambda report: write(report, fresh), REPORTS):
+                pass
+
+    paths = publish(spark, output, [report.name for report in REPORTS], write_all)
+    log.info("published %s", ", ".join(paths.values()))
+    if shared_scan and made_from:
+        found = resume.find(spark, folder, made_from)
+        if found:
+            resume.done(spark, found[0])
+    return paths
 
 
 def run(
@@ -111,7 +170,8 @@ def run(
     """
     services = {"green": read_trips(spark, input_green), "yellow": read_trips(spark, input_yellow)}
     zones = read_zones(spark, input_zones)
-    return write_reports(services, zones, output, rules, shared_scan, staging)
+    made_from = resume.manifest(spark, services, rules)
+    return write_reports(services, zones, output, rules, shared_scan, staging, made_from)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -123,6 +183,7 @@ def main(argv: list[str] | None = None) -> None:
     paths = vars(parser.parse_args(argv))
     logging.basicConfig(level=logging.INFO)
     with SparkSession.builder.appName("waybill").getOrCreate() as spark:
+        spark.sparkContext.setLogLevel(LOG_LEVEL)
         run(spark, **paths)
 
 
