@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import zlib
 
+import zstandard
 from pyspark.sql import functions as F
 
 from llm_support import ODD, frame, rows_of
@@ -63,3 +64,48 @@ def test_dictionaries_are_bounded(spark):
     found = language.dictionaries(frame(spark, rows), documents_each=4, size=1000)
     assert list(found) == ["en", "de"]
     assert all(len(content) <= 1000 for content in found.values())
+
+
+def test_equals_a_plain_loop_of_compressors(spark, documents):
+    """Dictionaries and predictions by plain Python over the same documents."""
+    rows = [(r.doc_id, r.text, r.lang) for r in documents.collect()]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(documents).collect()}
+    learning = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2 and r[1] is not None and r[2]]
+    contents = language.dictionaries(
+        spark.createDataFrame(learning, "doc_id long, text string, lang string")
+    )
+    counts = {lang: sum(r[2] == lang for r in learning) for lang in contents}
+    assert list(contents) == sorted(counts, key=lambda lang: (-counts[lang], lang))
+    whole = {lang: b" ".join(language.letters(t) for _, t, la in learning if la == lang) for lang in counts}
+    for lang, content in contents.items():
+        assert len(content) <= language.DICTIONARY_BYTES
+        assert all(word in whole[lang] for word in content.split(b" ")[:-2:50])
+
+    def size(content, data):
+        dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        dictionary.precompute_compress(level=language.LEVEL)
+        compressor = zstandard.ZstdCompressor(
+            level=language.LEVEL, dict_data=dictionary, write_checksum=False,
+            write_content_size=False, write_dict_id=False,
+        )
+        step = language.BLOCK_BYTES
+        return sum(len(compressor.compress(data[i : i + step])) for i in range(0, len(data), step))
+
+    for doc_id, text, _ in rows[::4]:
+        data = language.letters(text or "")
+        if not any(map(str.isalpha, text or "")):
+            assert got[doc_id] == ("und", 0.0)
+            continue
+        sizes = sorted((size(content, data), i) for i, content in enumerate(contents.values()))
+        assert got[doc_id] == ([*contents][sizes[0][1]], 1 - sizes[0][0] / sizes[1][0])
+
+
+def test_a_long_text_does_not_fill_its_dictionary(spark):
+    """Texts that begin with very many digits teach, and one long one leaves room for others."""
+    long = [(0, "9 " * 60_000 + "walrus " * 40_000, "en")]
+    others = [(i, f"kettle number{'abcdefghij'[i % 10]} spoon " * 200, "en") for i in range(1, 40)]
+    learning = spark.createDataFrame(long + others, "doc_id long, text string, lang string")
+    content = language.dictionaries(learning)["en"]
+    assert b"kettle" in content and content.count(b"walrus") <= 600
+    only = spark.createDataFrame(long, "doc_id long, text string, lang string")
+    assert language.dictionaries(only)["en"].count(b"walrus") > 10_000

@@ -106,3 +106,83 @@ def test_few_or_no_vectors(spark):
     none = one.limit(0)
     assert neighbours.nearest(none, none).collect() == []
     assert neighbours.nearest(one, none).collect() == []
+
+
+def recall(got, want):
+    hits = sum(len({i for _, i in got.get(q, [])} & {i for _, i in near}) for q, near in want.items())
+    return hits / sum(map(len, want.values()))
+
+
+def test_a_common_offset_costs_nothing(spark):
+    random = np.random.default_rng(2)
+    points = random.normal(size=(3000, 16)) + 1e5
+    rows = [(i, v.tolist()) for i, v in enumerate(points)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = answers(neighbours.nearest(table, table.filter("vec_id % 100 = 0")))
+    want = brute64(points, range(0, 3000, 100))
+    assert recall(got, want) >= 0.95
+
+
+def brute64(points, queries, k=10):
+    found = {}
+    for q in queries:
+        far = neighbours.distances(points, points[q])
+        order = [i for i in np.lexsort((np.arange(len(points)), far)) if i != q][:k]
+        found[q] = [(far[i], int(i)) for i in order]
+    return found
+
+
+def test_huge_components_and_far_clusters(spark):
+    """One vector of 1e20 and one of 1e300 among usual ones; clusters a million times as far apart as wide."""
+    random = np.random.default_rng(4)
+    points = random.normal(size=(2000, 8))
+    points[::2] += 1e6 * random.integers(0, 5, size=(1000, 1))
+    points[100] *= 1e20
+    points[301] *= 1e300
+    points[500] = points[100] * 1.5
+    rows = [(i, v.tolist()) for i, v in enumerate(points)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = answers(neighbours.nearest(table, table.filter("vec_id % 50 IN (0, 1)"), shard_points=700))
+    want = brute64(points, [i for i in range(2000) if i % 50 in (0, 1)])
+    assert set(got) == set(want) and recall(got, want) >= 0.95
+    assert [i for _, i in got[100]] == [i for _, i in want[100]]
+    for q, near in got.items():
+        for score, i in near:
+            assert score == pytest.approx(neighbours.distances(points[i : i + 1], points[q])[0], rel=1e-14)
+
+
+def test_vectors_that_are_all_huge_or_tiny(spark):
+    for scale in (1e200, 1e-200, 1e308):
+        rows = [(i, [scale * math.cos(i), scale * math.sin(i) / 2]) for i in range(40)]
+        table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = answers(neighbours.nearest(table, table.filter("vec_id < 5")))
+        points = np.array([v for _, v in rows])
+        assert {q: [i for _, i in near] for q, near in got.items()} == {
+            q: [i for _, i in near] for q, near in brute64(points, range(5)).items()
+        }
+
+
+def test_distances():
+    points = np.array([[3e200, 4e200], [3e-200, 4e-200], [3.0, 4.0], [0.0, 0.0]])
+    assert neighbours.distances(points, np.zeros(2)) == pytest.approx([5e200, 5e-200, 5.0, 0.0])
+
+
+def test_a_task_holds_one_shard(spark):
+    random = np.random.default_rng(6)
+    rows = [(i, v.tolist()) for i, v in enumerate(random.normal(size=(900, 4)))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    plan = neighbours.nearest(table, table, shard_points=100)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan or "shuffleshardid" in plan.lower() or "direct" in plan.lower()
+    points = table.selectExpr("vec_id", "embedding AS vector", "size(embedding) AS size")
+    shards, total = neighbours._shards(points, 100)
+    assert total == 9 and [tuple(r) for r in shards.collect()] == [(4, 0, 9)]
+
+
+def test_several_shards_in_a_task(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "MOST_TASKS", 2)
+    random = np.random.default_rng(7)
+    points = random.normal(size=(600, 4))
+    rows = [(i, v.tolist()) for i, v in enumerate(points)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = answers(neighbours.nearest(table, table.filter("vec_id % 20 = 0"), shard_points=100))
+    assert recall(got, brute64(points, range(0, 600, 20))) >= 0.99

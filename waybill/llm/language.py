@@ -9,23 +9,29 @@ sides only the letters of a text count, in lower case.
 
 Dictionaries hold a bounded sample: of each language the first
 ``DOCUMENTS_EACH`` learning documents by a hash of their id, as far as they fit
-into ``DICTIONARY_BYTES``. Whole texts are judged.
+into ``DICTIONARY_BYTES``. Of a learning document they hold the letters, and of
+a long one the first of these only, so that ``LEAST_DOCUMENTS`` have room.
+Whole texts are judged. The dictionaries are broadcast, 112 KB a language.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waybill.llm.shared import first_by_hash, is_held_out, ship
 
 DOCUMENTS_EACH = 500
 DICTIONARY_BYTES = 112 << 10
+#: Documents that share a dictionary at least, if there are as many.
+LEAST_DOCUMENTS = 32
 #: Blocks are small, so that the dictionary matters to all of a long text.
 BLOCK_BYTES = 8 << 10
 LEVEL = 9
@@ -45,33 +51,48 @@ def dictionaries(
     learning: DataFrame, documents_each: int = DOCUMENTS_EACH, size: int = DICTIONARY_BYTES
 ) -> dict[str, bytes]:
     """Dictionary content per language, the most frequent first, from rows of text and lang."""
+    spark = learning.sparkSession
     known = learning.select("doc_id", "text", "lang").filter("lang IS NOT NULL AND text IS NOT NULL")
-    chosen = first_by_hash(known.select("doc_id", "lang").distinct(), "lang", "doc_id", documents_each)
-    wanted = chosen.select(
-        F.col("doc_id").alias("wanted_id"), F.col("lang").alias("wanted_lang"), "place"
-    )
+    named = known.select("doc_id", "lang").distinct()
+    chosen = first_by_hash(named, "lang", "doc_id", documents_each).collect()
+    held = Counter(row["lang"] for row in chosen)
     # Bounded by documents_each and the number of languages.
+    wanted = spark.createDataFrame(
+        [
+            (row["doc_id"], row["lang"], row["place"], share_of(size, held[row["lang"]]))
+            for row in chosen
+        ],
+        T.StructType(
+            [
+                T.StructField("wanted_id", learning.schema["doc_id"].dataType),
+                T.StructField("wanted_lang", learning.schema["lang"].dataType),
+                T.StructField("place", T.IntegerType()),
+                T.StructField("share", T.IntegerType()),
+            ]
+        ),
+    )
+    spelled = F.btrim(F.regexp_replace("text", r"[^\p{L}\p{M}]+", " "))
     texts = known.join(
         F.broadcast(wanted), (F.col("doc_id") == F.col("wanted_id")) & (F.col("lang") == F.col("wanted_lang"))
-    ).select("lang", "place", F.substring("text", 1, size).alias("text"))
-    # No more than fits is brought to the driver.
-    before = (
-        Window.partitionBy("lang")
-        .orderBy("place", "text")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    fitting = texts.withColumn("before", F.sum(F.octet_length("text") + 1).over(before)).filter(
-        F.coalesce("before", F.lit(0)) < 2 * size
-    )
+    ).select("lang", "place", F.substring(spelled, F.lit(1), F.col("share")).alias("text"))
     contents: dict[str, bytes] = {}
-    for lang, text in fitting.orderBy("lang", "place", "text").select("lang", "text").collect():
-        if found := letters(text):
-            contents[lang] = contents.get(lang, b"") + found + b" "
+    for row in texts.orderBy("lang", "place", "text").toLocalIterator():
+        so_far = contents.get(row["lang"], b"")
+        if len(so_far) < size and (found := letters(row["text"])):
+            contents[row["lang"]] = so_far + found + b" "
     counts = known.groupBy("lang").count().collect()
     by_size = sorted((-row["count"], row["lang"]) for row in counts if row["lang"] in contents)
     return {lang: contents[lang][:size] for _, lang in by_size}
 
 
+def share_of(size: int, documents: int) -> int:
+    """Characters of a document's letters that its language's dictionary takes at most.
+
+    At least ``LEAST_DOCUMENTS`` share a dictionary if there are as many.
+    """
+    return -(-size // max(1, min(documents, LEAST_DOCUMENTS)))
+
+
 class Judge:
     """Compressors of all languages."""
 
@@ -119,10 +140,11 @@ def identify(
     and any text where nothing could be learned are ``und`` with score 0.
     """
     ship(docs.sparkSession)
-    contents = dictionaries(docs.filter(~is_held_out(folds, fold)).select("doc_id", "text", "lang"))
+    learning = docs.filter(~is_held_out(folds, fold)).select("doc_id", "text", "lang")
+    contents = docs.sparkSession.sparkContext.broadcast(dictionaries(learning))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = Judge(contents).judge
+        judge = Judge(contents.value).judge
         for batch in batches:
             found = [judge(text.as_py()) for text in batch.column("text")]
             langs, scores = zip(*found) if found else ((), ())

@@ -4,48 +4,100 @@ Vectors are dealt over shards of bounded size, and each shard builds a graph
 of its own: a greedy search for a new point proposes neighbours, and robust
 pruning keeps the nearest one, drops what lies nearer to it (by a relaxed
 factor) than to the point, and goes on with the rest, so that a few diverse
-edges remain. Edges run both ways until a full point prunes its own. A beam
-search then takes every query through every shard, and the best of all shards
-are kept, with exact distances on the original vectors.
+edges remain. Edges run both ways until a full point prunes its own. The graphs
+are stored. A beam search then takes every query through every shard, and the
+best of all shards are kept, with exact distances on the original vectors.
+
+A task holds one shard and one batch of queries: points and queries of a shard
+come to it as one sorted stream, points first.
 
 Equal vectors are one point of the graph, which knows its smallest ids; a
 vector that a third of the rows share costs no more than any other. Points are
-inserted in batches, so that searches run side by side in numpy.
+inserted in batches, so that searches run side by side in numpy, in double
+precision and around the middle of the shard. A vector that lies immensely
+farther out than most has no place in the graph: it is compared with every
+query, and as a query with every point.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.llm.shared import ship, staged
 
 NEIGHBOURS = 10
-#: Points of a shard, about.
-SHARD_POINTS = 8_192
+#: Points of a shard, and bytes of their vectors, about.
+SHARD_POINTS, SHARD_BYTES = 8_192, 64 << 20
 #: Edges that a point keeps, and candidates that a search holds while building.
 DEGREE, BUILD_BEAM = 32, 64
 #: Candidates that a search for a query holds.
 QUERY_BEAM = 160
 #: The relaxed factor of pruning.
 ALPHA = 1.2
+#: Times the usual distance from the middle beyond which a vector is far out.
+FAR_OUT = 1e9
+#: Tasks, at most; beyond, a task takes several shards one after the other.
+MOST_TASKS = 20_000
 _BATCH = 512
 
 
+def distances(points: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean distances in double precision, also where squares are too large or small for it."""
+    with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+        apart = points - query
+        found = np.sqrt((apart**2).sum(axis=1))
+        odd = ~((found > 1e-140) & (found < 1e150))
+        if odd.any():
+            some = apart[odd]
+            largest = np.abs(some).max(axis=1, initial=0.0)
+            scale = np.where((largest > 0) & np.isfinite(largest), largest, 1.0)
+            found[odd] = scale * np.sqrt(((some / scale[:, None]) ** 2).sum(axis=1))
+    return found
+
+
+class Frame:
+    """The middle of a shard and its usual distance from it, in which all is measured."""
+
+    def __init__(self, points: np.ndarray) -> None:
+        with np.errstate(over="ignore"):
+            self.middle = np.median(points, axis=0)
+        self.unit = 1.0
+        sizes = self._sizes(points)
+        usual = float(np.median(sizes))
+        if 0 < usual < np.inf:
+            self.unit = usual
+
+    def _sizes(self, points: np.ndarray) -> np.ndarray:
+        return np.abs(self.moved(points)).max(axis=1, initial=0.0)
+
+    def moved(self, points: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore", invalid="ignore"):
+            return (points - self.middle) / self.unit
+
+    def near(self, points: np.ndarray) -> np.ndarray:
+        """Which points are not far out."""
+        return self._sizes(points) < FAR_OUT
+
+
 class Graph:
-    """A directed graph over the rows of ``points``, which are distinct."""
+    """A directed graph over the rows of ``points``, which are distinct and in a ``Frame``."""
 
-    def __init__(self, points: np.ndarray, seed: int = 7) -> None:
-        self.points = points.astype(np.float32)
-        self.norms = (self.points**2).sum(axis=1)
+    def __init__(self, points: np.ndarray, edges: np.ndarray | None = None, seed: int = 7) -> None:
+        self.points = points
         n = len(points)
+        self.entry = int((points**2).sum(axis=1).argmin()) if n else 0
+        if edges is not None:
+            self.edges = edges
+            return
         self.edges = np.full((n, DEGREE), -1, np.int32)
-        middle = self.points.mean(axis=0)
-        self.entry = int(((self.points - middle) ** 2).sum(axis=1).argmin())
         order = np.random.default_rng(seed).permutation(n)
-        order = np.concatenate([[self.entry], order[order != self.entry]])
+        order = np.concatenate([[self.entry], order[order != self.entry]]) if n else order
         done = 1
         while done < n:  # batches grow with the graph, so that a batch sees most of it
             batch = order[done : done + max(1, min(_BATCH, done))]
@@ -56,9 +108,9 @@ class Graph:
 
     def _squared(self, queries: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Squared distances from each query to the points in its row of ``ids``; -1 is far."""
-        dots = np.einsum("qd,qkd->qk", queries, self.points[ids], optimize=True)
-        found = (queries**2).sum(axis=1)[:, None] - 2 * dots + self.norms[ids]
-        return np.where(ids < 0, np.inf, np.maximum(found, 0))
+        apart = self.points[ids]
+        apart -= queries[:, None, :]
+        return np.where(ids < 0, np.inf, np.einsum("qkd,qkd->qk", apart, apart))
 
     def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``beam`` nearest points that greedy searches meet, nearest first; -1 for none."""
@@ -103,7 +155,9 @@ class Graph:
         order = np.argsort(far, axis=1, kind="stable")
         candidates = np.take_along_axis(candidates, order, axis=1)
         far = np.take_along_axis(far, order, axis=1)
-        vectors, norms = self.points[candidates], self.norms[candidates]
+        # Around the point itself, so that little is lost between its neighbours.
+        vectors = self.points[candidates] - self.points[points][:, None, :]
+        norms = (vectors**2).sum(axis=2)
         dots = vectors @ vectors.transpose(0, 2, 1)
         kept = np.full((len(points), DEGREE), -1, np.int32)
         alive = np.isfinite(far)
@@ -195,48 +249,182 @@ def nearest(
         .agg(F.sort_array(F.collect_list("id")).alias("ids"))
     )
     points = staged(points.withColumn("size", F.size("vector")), "points")
-    shards = max(1, -(-points.count() // shard_points))
-    shard = F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(shards)).cast("int")
-    dealt = points.withColumn("shard", shard)
-    asked = usable(queries, id_column, vector_column).select(
-        F.col("id").alias("query_id"), "vector", F.size("vector").alias("size")
+    shards, total = _shards(points, shard_points)
+    shard = F.col("first") + F.pmod(F.xxhash64(F.col("ids")[0]), F.col("shards")).cast("int")
+    tasks = min(total, MOST_TASKS)
+    dealt = (
+        points.join(F.broadcast(shards), "size")
+        .select(shard.alias("shard"), "ids", F.col("vector").cast("array<double>").alias("vector"))
+        .repartitionById(tasks, "shard")
+        .sortWithinPartitions("shard", F.col("ids")[0])
     )
-    # Every shard answers every query: its own copy of the stated query set.
-    everywhere = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-
-    def answer(points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        columns = ["query_id", "vec_id", "score"]
-        if not len(points) or not len(queries):
-            return pd.DataFrame(columns=columns)
-        exact = np.stack(points["vector"].to_numpy()).astype(float)
-        graph = Graph(exact)
-        starts, ids = np.cumsum([0, *map(len, points["ids"])]), np.concatenate([*points["ids"]])
-        found = []
-        for first in range(0, len(queries), _BATCH):
-            block = queries.iloc[first : first + _BATCH]
-            wanted = np.stack(block["vector"].to_numpy()).astype(float)
-            near, _ = graph.search(wanted.astype(np.float32), query_beam)
-            for query, vector, at in zip(block["query_id"], wanted, near):
-                at = at[at >= 0]
-                score = np.sqrt(((exact[at] - vector) ** 2).sum(axis=1))
-                which = np.repeat(np.arange(len(at)), starts[at + 1] - starts[at])
-                members = np.concatenate([ids[starts[i] : starts[i + 1]] for i in at])
-                other = members != query
-                members, score = members[other], score[which][other]
-                order = np.lexsort((members, score))[:k]
-                found.append(
-                    pd.DataFrame({"query_id": query, "vec_id": members[order], "score": score[order]})
-                )
-        return pd.concat(found)
-
-    answers = (
-        dealt.groupBy("shard", "size")
-        .cogroup(everywhere.groupBy("shard", "size"))
-        .applyInPandas(answer, "query_id long, vec_id long, score double")
+    graphs = staged(dealt.mapInArrow(_build, _STORED), "graphs")
+    asked = usable(queries, id_column, vector_column).withColumn("size", F.size("vector"))
+    # Every shard of its length answers a query: its own copy of the stated query set.
+    everywhere = asked.join(F.broadcast(shards), "size").select(
+        F.explode(F.expr("sequence(first, first + shards - 1)")).alias("shard"),
+        F.lit(None).cast("int").alias("place"),
+        F.array("id").alias("ids"),
+        F.col("vector").cast("array<double>").alias("vector"),
+        F.lit(None).cast("array<int>").alias("edges"),
     )
+    stream = (
+        graphs.unionByName(everywhere)
+        .repartitionById(tasks, "shard")
+        .sortWithinPartitions("shard", F.asc_nulls_last("place"))
+    )
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _answers(batches, k, query_beam)
+
+    answers = stream.mapInArrow(answer, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (
         answers.withColumn("rank", F.row_number().over(best).cast("int"))
         .filter(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
+
+
+_STORED = "shard int, place int, ids array<long>, vector array<double>, edges array<int>"
+
+
+def _shards(points: DataFrame, shard_points: int) -> tuple[DataFrame, int]:
+    """Per length of vectors the number of its first shard and how many it has, and the sum of all."""
+    rows, total = [], 0
+    for row in points.groupBy("size").count().orderBy("size").collect():
+        most = max(1, min(shard_points, SHARD_BYTES // (8 * row["size"])))
+        shards = -(-row["count"] // most)
+        rows.append((row["size"], total, shards))
+        total += shards
+    schema = "size int, first int, shards int"
+    return points.sparkSession.createDataFrame(rows, schema), max(1, total)
+
+
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Rows in pieces of one shard each; shards lie one after the other."""
+    for batch in batches:
+        numbers = batch.column("shard").to_numpy()
+        bounds = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+        for first, stop in zip(bounds, bounds[1:]):
+            if stop > first:
+                yield int(numbers[first]), batch.slice(first, stop - first)
+
+
+def _vectors(rows: pa.RecordBatch | pa.Table) -> np.ndarray:
+    column = rows.column("vector")
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy().reshape(len(column), -1)
+
+
+def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A shard's points with their edges; those far out come last and have none."""
+
+    def built(shard: int, pieces: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(pieces).combine_chunks()
+        points = _vectors(rows)
+        frame = Frame(points)
+        near = frame.near(points)
+        order = np.concatenate([np.flatnonzero(near), np.flatnonzero(~near)])
+        graph = Graph(frame.moved(points[near]))
+        rows = rows.take(pa.array(order))
+        inside = len(graph.points)
+        edges = pa.array([*graph.edges.tolist(), *[None] * (len(order) - inside)], pa.list_(pa.int32()))
+        table = pa.table(
+            {
+                "shard": pa.array(np.full(len(order), shard), pa.int32()),
+                "place": pa.array(np.arange(len(order)), pa.int32()),
+                "ids": rows.column("ids"),
+                "vector": rows.column("vector"),
+                "edges": edges,
+            }
+        )
+        yield from table.to_batches(max_chunksize=2_000)
+
+    now, pieces = None, []
+    for shard, piece in _by_shard(batches):
+        if shard != now and pieces:
+            yield from built(now, pieces)
+            pieces = []
+        now = shard
+        pieces.append(piece)
+    if pieces:
+        yield from built(now, pieces)
+
+
+class Shard:
+    """A stored shard, ready to be searched."""
+
+    def __init__(self, pieces: list[pa.RecordBatch]) -> None:
+        rows = pa.Table.from_batches(pieces).combine_chunks()
+        self.exact = _vectors(rows)
+        lists = rows.column("ids").combine_chunks()
+        self.ids = lists.flatten().to_numpy()
+        self.starts = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+        edges = rows.column("edges").combine_chunks()
+        inside = len(edges) - edges.null_count
+        self.frame = Frame(self.exact)
+        self.graph = Graph(
+            self.frame.moved(self.exact[:inside]),
+            edges.drop_null().flatten().to_numpy().reshape(inside, DEGREE),
+        )
+        self.outside = np.arange(inside, len(edges))
+
+    def _found(self, queries: np.ndarray, beam: int) -> Iterator[np.ndarray]:
+        """The points that each query is compared with."""
+        near = self.frame.near(queries)
+        met = np.full((len(queries), beam), -1, np.int64)
+        if near.any() and len(self.graph.points):
+            met[near], _ = self.graph.search(self.frame.moved(queries[near]), beam)
+        for row, is_near in zip(met, near):
+            yield np.concatenate([row[row >= 0], self.outside]) if is_near else np.arange(len(self.exact))
+
+    def best(
+        self, names: np.ndarray, queries: np.ndarray, k: int, beam: int
+    ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Per query its ``k`` nearest ids and their exact distances."""
+        for query, vector, at in zip(names.tolist(), queries, self._found(queries, beam)):
+            score = distances(self.exact[at], vector)
+            # Only points that can be among the k + 1 nearest need their ids.
+            if len(at) > k + 1:
+                some = np.argpartition(score, k)[: k + 1]
+                some = np.flatnonzero(score <= score[some].max())
+                at, score = at[some], score[some]
+            sizes = self.starts[at + 1] - self.starts[at]
+            which = np.repeat(np.arange(len(at)), sizes)
+            offset = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            members = self.ids[np.repeat(self.starts[at], sizes) + offset]
+            other = members != query
+            members, score = members[other], score[which][other]
+            order = np.lexsort((members, score))[:k]
+            yield query, members[order], score[order]
+
+
+def _answers(
+    batches: Iterator[pa.RecordBatch], k: int, beam: int
+) -> Iterator[pa.RecordBatch]:
+    now, pieces, shard = None, [], None
+    for number, piece in _by_shard(batches):
+        if number != now:
+            now, pieces, shard = number, [], None
+        is_point = piece.column("place").is_valid()
+        points = int(pc.sum(is_point).as_py() or 0)
+        if points:
+            pieces.append(piece.slice(0, points))
+        asked = piece.slice(points)
+        if not len(asked) or not (pieces or shard):
+            continue
+        if shard is None:
+            shard, pieces = Shard(pieces), []
+        names, queries = asked.column("ids").flatten().to_numpy(), _vectors(asked)
+        for first in range(0, len(asked), _BATCH):
+            some = slice(first, first + _BATCH)
+            found = [*shard.best(names[some], queries[some], k, beam)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat([q for q, _, _ in found], [len(m) for _, m, _ in found])),
+                    pa.array(np.concatenate([m for _, m, _ in found])),
+                    pa.array(np.concatenate([s for _, _, s in found])),
+                ],
+                names=["query_id", "vec_id", "score"],
+            )

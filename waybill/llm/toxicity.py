@@ -9,9 +9,10 @@ the words that were. A few neutral words are added to every mean, as otherwise
 the words of a very short text weigh more than they can tell.
 
 The model is fitted on a bounded sample of the labelled documents: of each
-class the first ``DOCUMENTS_EACH`` by a hash of the id, as far as they hold no
-more than ``WORDS_EACH`` distinct words in all. They come to the driver one by
-one, as word counts. Scoring reads every whole text. As both means are linear, a word adds
+class the first ``DOCUMENTS_EACH`` by a hash of the id. Of a document with more
+than ``WORDS_OF_ONE`` distinct words it takes about as many, by their hash; a
+document that does not fit into what is left of ``WORDS_EACH`` distinct words
+is skipped. They come to the driver one by one, as word counts. Scoring reads every whole text. As both means are linear, a word adds
 one number to its document's logit, computed once per distinct word and worker.
 """
 
@@ -22,24 +23,26 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.llm.shared import SPACE, first_by_hash, is_held_out, ship, staged
 
 DOCUMENTS_EACH = 1500
 WORDS_EACH = 500_000
+WORDS_OF_ONE = 20_000
 BUCKETS = 1 << 18
 DIMENSIONS = 8
 SHORTEST, LONGEST = 3, 5
 #: Neutral words in every document's mean.
 PADDING = 30
-#: Buckets that fewer documents hit are not learned: one in so many, two at least.
-RARE = 200
+#: Buckets that fewer documents hit are not learned.
+RARE = 4
 EPOCHS = 60
 RATE, MOMENTUM, DECAY = 1.0, 0.9, 1e-4
 #: Words that a worker remembers.
@@ -95,6 +98,49 @@ def _matrix(documents: Iterable[tuple[dict[str, int], int]]) -> tuple[np.ndarray
     return *map(np.concatenate, (rows, buckets, weights)), np.array(classes, float)
 
 
+@dataclass(frozen=True)
+class Weights:
+    """Each bucket's weight in each document, by documents and by buckets."""
+
+    rows: np.ndarray
+    row_starts: np.ndarray
+    bucket: np.ndarray
+    weight: np.ndarray
+    buckets: np.ndarray
+    bucket_starts: np.ndarray
+    row_by: np.ndarray
+    weight_by: np.ndarray
+    root: np.ndarray
+
+    def logits(self, embeddings: np.ndarray, softmax: np.ndarray, bias: float, n: int) -> np.ndarray:
+        of_bucket = embeddings @ softmax
+        logits = np.full(n, bias - of_bucket @ self.root)
+        each = self.weight * of_bucket.astype(np.float32)[self.bucket]
+        logits[self.rows] += np.add.reduceat(each, self.row_starts)
+        return logits
+
+    def gradients(
+        self,
+        embeddings: np.ndarray,
+        softmax: np.ndarray,
+        bias: float,
+        toxic: np.ndarray,
+        shares: np.ndarray,
+    ) -> list:
+        """Of the weighted log loss and the decay, by embeddings, softmax and bias."""
+        logits = self.logits(embeddings, softmax, bias, len(toxic))
+        missed = (1 / (1 + np.exp(-np.clip(logits, -50, 50))) - toxic) * shares
+        back = np.zeros(len(embeddings))
+        each = self.weight_by * missed.astype(np.float32)[self.row_by]
+        back[self.buckets] = np.add.reduceat(each, self.bucket_starts)
+        back -= missed.sum() * self.root
+        return [
+            np.outer(back, softmax) + DECAY * embeddings,
+            embeddings.T @ back + DECAY * softmax,
+            missed.sum(),
+        ]
+
+
 def train(
     documents: Iterable[tuple[dict[str, int], int]], toxic_share: float, seed: int = 7
 ) -> Model | None:
@@ -113,7 +159,7 @@ def train(
     n = len(toxic)
     if not 0 < toxic.sum() < n:
         return None
-    common = np.bincount(bucket, minlength=BUCKETS) >= max(2, n // RARE)
+    common = np.bincount(bucket, minlength=BUCKETS) >= RARE
     kept = common[bucket]
     row, bucket, weight = row[kept], bucket[kept], weight[kept]
     if not len(row):
@@ -138,20 +184,12 @@ def train(
     softmax = random.normal(0, 1, DIMENSIONS)
     softmax /= np.linalg.norm(softmax)
     bias = np.log(toxic_share / (1 - toxic_share))
+    weights = Weights(
+        rows, row_starts, bucket, weight, buckets, bucket_starts, row_by, weight_by, root
+    )
     moves = [np.zeros_like(embeddings), np.zeros_like(softmax), 0.0]
     for _ in range(EPOCHS):
-        of_bucket = embeddings @ softmax
-        logits = np.full(n, bias - of_bucket @ root)
-        logits[rows] += np.add.reduceat(weight * of_bucket.astype(np.float32)[bucket], row_starts)
-        missed = (1 / (1 + np.exp(-np.clip(logits, -50, 50))) - toxic) * shares
-        back = np.zeros(BUCKETS)
-        back[buckets] = np.add.reduceat(weight_by * missed.astype(np.float32)[row_by], bucket_starts)
-        back -= missed.sum() * root
-        gradients = [
-            np.outer(back, softmax) + DECAY * embeddings,
-            embeddings.T @ back + DECAY * softmax,
-            missed.sum(),
-        ]
+        gradients = weights.gradients(embeddings, softmax, bias, toxic, shares)
         moves = [MOMENTUM * move - RATE * step for move, step in zip(moves, gradients)]
         embeddings += moves[0]
         softmax += moves[1]
@@ -167,8 +205,10 @@ def learning_words(
     fold: int = 0,
     documents_each: int = DOCUMENTS_EACH,
     words_each: int = WORDS_EACH,
+    words_of_one: int = WORDS_OF_ONE,
 ) -> tuple[DataFrame, float]:
     """(words, toxic, place) of a bounded number of documents; the toxic share of all labels."""
+    spark = docs.sparkSession
     usable = (
         labels.filter(~is_held_out(folds, fold) & F.col("toxic").isin(0, 1))
         .groupBy("doc_id")
@@ -183,13 +223,25 @@ def learning_words(
     )
     split = texts.select("toxic", "place", F.explode(F.split("text", f"{SPACE}+")).alias("word"))
     counts = split.filter("word <> ''").groupBy("toxic", "place", "word").count()
-    words = counts.groupBy("toxic", "place").agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("word", "count")))).alias("words"),
-        F.count("*").alias("n"),
+    counts = staged(counts, "words")
+    # A row per chosen document.
+    sizes = counts.groupBy("toxic", "place").agg(F.count("*").alias("n")).collect()
+    kept, held = [], {}
+    most = min(words_of_one, words_each)
+    for row in sorted(sizes, key=lambda row: (row["toxic"], row["place"])):
+        n = min(row["n"], most)
+        if held.get(row["toxic"], 0) + n <= words_each:
+            held[row["toxic"]] = held.get(row["toxic"], 0) + n
+            kept.append((row["toxic"], row["place"], min(1.0, most / row["n"])))
+    fitting = spark.createDataFrame(kept, "toxic int, place int, share double")
+    part = F.pmod(F.xxhash64("word"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    learning = (
+        counts.join(F.broadcast(fitting), ["toxic", "place"])
+        .filter(part < F.col("share"))
+        .groupBy("toxic", "place")
+        .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("word", "count")))).alias("words"))
+        .select("words", "toxic", "place")
     )
-    upto = Window.partitionBy("toxic").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    fitting = words.withColumn("upto", F.sum("n").over(upto)).filter(F.col("upto") <= words_each)
-    learning = fitting.select("words", "toxic", "place")
     return staged(learning, "learning"), seen.get(1, 0) / max(1, sum(seen.values()))
 
 
