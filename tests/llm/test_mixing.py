@@ -33,6 +33,33 @@ def test_odd_documents_equal_sql(odd):
     assert len(rows) == len(ODD)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_small_sources_beside_a_large_one_equal_sql(spark, seed):
+    draw = random.Random(seed)
+    rows = [(i, "word " * draw.randint(1, 900), "en", "large") for i in range(120)]
+    rows += [(1000 + i, "few words " * draw.randint(1, 9), "en", f"small{i % 6}") for i in range(20)]
+    rows += [(2000 + i, draw.choice(["", None, "  \n"]), "en", draw.choice(["large", "empty"])) for i in range(40)]
+    docs = frame(spark, rows)
+    names, want = by_sql(docs)
+    assert rows_of(mixing.mix(docs), *names) == want
+    taken, target = Counter(), {}
+    for row in mixing.mix(docs).collect():
+        taken[row.source] += row.taken
+        target[row.source] = row.target
+    for source, goal in target.items():
+        assert taken[source] == pytest.approx(goal, abs=1 + 0.02 * goal)
+
+
+def test_documents_without_a_word_are_not_ranked(spark, tmp_path):
+    rows = [(i, "", "en", "a") for i in range(3000)] + [(5000, "some words", "en", "a")]
+    frame(spark, rows).write.parquet(f"{tmp_path}/docs")
+    found = mixing.mix(spark.read.parquet(f"{tmp_path}/docs"))
+    tasks = Counter(r.task for r in found.selectExpr("*", "spark_partition_id() AS task").collect())
+    assert sum(tasks.values()) == 3001
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "(mix_size" in text and text.count("Union") >= 1
+
+
 def test_no_documents_and_no_words(spark, none, odd):
     assert rows_of(mixing.mix(none)) == []
     wordless = odd.filter("doc_id IN (1, 2, 8)")

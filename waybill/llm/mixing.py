@@ -232,19 +232,25 @@ def take(documents: DataFrame, quotas: DataFrame) -> DataFrame:
     shard = Window.partitionBy("mix_source", "shard")
     before = shard.orderBy("mix_place", "mix_id").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("mix_size").over(before), F.lit(0))
-    placed = with_shard(documents, sources).withColumn("start", start)
+    every = with_shard(documents, sources)
+    # Documents without a word take no place; there may be very many in one shard.
+    nothing = F.lit(0).cast("long")
+    wordless = every.filter("mix_size <= 0").drop("shards")
+    wordless = wordless.withColumns({"rounds": nothing, "part": nothing, "taken": nothing})
+    placed = every.filter("mix_size > 0").withColumn("start", start)
     size, goal = F.col("mix_size"), F.col("goal")
     filled = F.col("shard_size") > 0
     rounds = F.when(filled, F.floor(goal / F.col("shard_size"))).otherwise(F.lit(0))
     over = F.when(filled, goal % F.col("shard_size")).otherwise(F.lit(0))
     part = F.greatest(F.lit(0), F.least(size, F.col("over") - F.col("start")))
-    return (
+    worded = (
         placed.join(goals, same)
         .withColumns({"rounds": rounds, "over": over})
         .withColumn("part", part)
         .withColumn("taken", F.col("rounds") * size + F.col("part"))
         .drop("goal_source", "goal_shard", "shard_size", "goal", "over", "start", "shards")
     )
+    return worded.unionByName(wordless)
 
 
 def mix(
@@ -292,8 +298,7 @@ def mixed_documents(
     return each.select(*(value.alias(name) for name, value in columns.items()))
 
 
-#: What ``mix`` returns over the view ``documents``, where every target is ``EXACT_BLOCKS``
-#: blocks or more; it does not settle smaller ones in words.
+#: What ``mix`` returns over the view ``documents``.
 SQL = f"""
 WITH sized AS (
   SELECT doc_id, source,
@@ -323,23 +328,33 @@ targets AS (
     CASE WHEN stops THEN CAST(most AS DOUBLE)
       ELSE CAST(weight * (words - coalesce(sum(most) FILTER (stops) OVER (), 0)) AS DOUBLE)
         / CAST(sum(weight) FILTER (NOT stops) OVER () AS DOUBLE) END AS target,
-    greatest(ceil(words / {BLOCK_WORDS}), {LEAST_BLOCKS}) AS blocks,
+    words / greatest(ceil(words / {BLOCK_WORDS}), {LEAST_BLOCKS}) AS block,
     CAST(greatest(ceil(source_size / {SHARD_WORDS}), 1) AS BIGINT) AS shards
   FROM stopped
 ),
+settled AS (
+  SELECT *, target < {EXACT_BLOCKS} * block AS exact,
+    words - coalesce(sum(target) FILTER (target < {EXACT_BLOCKS} * block) OVER (), 0) AS open_words
+  FROM targets
+),
+voters AS (
+  SELECT source, target, sum(target) OVER () AS votes, count(*) OVER () AS voters,
+    CAST(round(open_words / block) AS BIGINT) AS blocks
+  FROM settled WHERE NOT exact AND words > 0 AND target > 0
+),
 source_seats AS (
   SELECT source, CAST(count(seat) AS BIGINT) AS quota FROM (
     SELECT source, seat, row_number() OVER (
       ORDER BY target / (2 * seat - 1) DESC, encode(source) NULLS LAST, seat) AS place, blocks
     FROM (SELECT source, target, blocks, unnest(range(1,
-      CAST(floor(target / words * (blocks + 0.5 * (SELECT count(*) FROM targets)) + 0.5) AS BIGINT) + 1)
-      ) AS seat FROM targets WHERE words > 0 AND target > 0)
+      CAST(floor(target / votes * (blocks + 0.5 * voters) + 0.5) AS BIGINT) + 1)) AS seat FROM voters)
   ) WHERE place <= blocks GROUP BY source
 ),
 placed AS (
-  SELECT s.*, t.source_size, t.target, t.words / t.blocks AS block, coalesce(q.quota, 0) AS quota,
+  SELECT s.*, t.source_size, t.target, CASE WHEN t.exact THEN 1.0 ELSE t.block END AS block,
+    CASE WHEN t.exact THEN CAST(round(t.target) AS BIGINT) ELSE coalesce(q.quota, 0) END AS quota,
     CAST('0x' || substr(s.place, 1, 15) AS BIGINT) % t.shards AS shard
-  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+  FROM sized s JOIN settled t ON s.source IS NOT DISTINCT FROM t.source
   LEFT JOIN source_seats q ON s.source IS NOT DISTINCT FROM q.source
 ),
 cells AS (
