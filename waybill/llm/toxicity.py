@@ -42,7 +42,7 @@ SHORTEST, LONGEST = 3, 5
 #: Neutral words in every document's mean.
 PADDING = 30
 #: Buckets that fewer documents hit are not learned.
-RARE = 4
+RARE = 8
 EPOCHS = 60
 RATE, MOMENTUM, DECAY = 1.0, 0.9, 1e-4
 #: Words that a worker remembers.
