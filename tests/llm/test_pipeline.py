@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-import importlib.util
+import sys
 
 import duckdb
 import numpy as np
@@ -93,7 +93,7 @@ def test_query_equals_statement(spark, sf_dir, key):
 
 
 def test_every_operator_has_a_query():
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(key.startswith(f"op{n}_") for key in contract.queries()) == 1
     assert "pipeline" in contract.queries()
 
@@ -109,10 +109,13 @@ def test_native_operators_run_no_python(spark, sf_dir, key, capsys):
         assert unwanted not in text
 
 
-def test_entry_without_the_subpackage(monkeypatch):
-    find = importlib.util.find_spec
-    monkeypatch.setattr(
-        importlib.util, "find_spec", lambda name: None if name == "waybill.llm" else find(name)
-    )
+@pytest.mark.parametrize("missing", ["corpus_pipeline", "waybill.llm.queries", "zstandard"])
+def test_entry_without_the_subpackage_or_what_it_needs(monkeypatch, missing):
+    """Deleted folders, and a library that is not installed, leave the other queries."""
+    for name in [n for n in sys.modules if n == "corpus_pipeline" or n.startswith("waybill.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, missing, None)
+    for attribute in ("llm",):
+        monkeypatch.delattr(sys.modules["waybill"], attribute, raising=False)
     assert contract.queries().keys() == contract.trip_queries().keys()
     assert contract.oracle_sql().keys() == contract.queries().keys()

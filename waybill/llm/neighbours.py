@@ -13,9 +13,10 @@ come to it as one sorted stream, points first.
 
 Equal vectors are one point of the graph, which knows its smallest ids; a
 vector that a third of the rows share costs no more than any other. Points are
-inserted in batches, so that searches run side by side in numpy, in double
-precision and around the middle of the shard. A vector that lies immensely
-farther out than most has no place in the graph: it is compared with every
+inserted in batches, so that searches run side by side in numpy, around the
+middle of the shard and in double precision wherever its spread asks for it. A
+vector that lies immensely farther out than most has no place in the graph: it
+is compared with every
 query, and as a query with every point.
 """
 
@@ -42,6 +43,8 @@ QUERY_BEAM = 160
 ALPHA = 1.2
 #: Times the usual distance from the middle beyond which a vector is far out.
 FAR_OUT = 1e9
+#: Shards within so many times the usual distance are searched in single precision.
+SINGLE = 1e3
 #: Tasks, at most; beyond, a task takes several shards one after the other.
 MOST_TASKS = 20_000
 _BATCH = 512
@@ -80,16 +83,17 @@ class Frame:
         with np.errstate(over="ignore", invalid="ignore"):
             return (points - self.middle) / self.unit
 
-    def near(self, points: np.ndarray) -> np.ndarray:
+    def near(self, points: np.ndarray, limit: float = FAR_OUT) -> np.ndarray:
         """Which points are not far out."""
-        return self._sizes(points) < FAR_OUT
+        return self._sizes(points) < limit
 
 
 class Graph:
     """A directed graph over the rows of ``points``, which are distinct and in a ``Frame``."""
 
     def __init__(self, points: np.ndarray, edges: np.ndarray | None = None, seed: int = 7) -> None:
-        self.points = points
+        self.single = bool(np.abs(points).max(initial=0.0) < SINGLE)
+        self.points = points = points.astype(np.float32 if self.single else float)
         n = len(points)
         self.entry = int((points**2).sum(axis=1).argmin()) if n else 0
         if edges is not None:
@@ -114,6 +118,7 @@ class Graph:
 
     def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``beam`` nearest points that greedy searches meet, nearest first; -1 for none."""
+        queries = queries.astype(self.points.dtype)
         n = len(queries)
         ids = np.full((n, beam), -1, np.int64)
         ids[:, 0] = self.entry
@@ -372,7 +377,7 @@ class Shard:
 
     def _found(self, queries: np.ndarray, beam: int) -> Iterator[np.ndarray]:
         """The points that each query is compared with."""
-        near = self.frame.near(queries)
+        near = self.frame.near(queries, SINGLE if self.graph.single else FAR_OUT)
         met = np.full((len(queries), beam), -1, np.int64)
         if near.any() and len(self.graph.points):
             met[near], _ = self.graph.search(self.frame.moved(queries[near]), beam)
