@@ -16,8 +16,7 @@ vector that a third of the rows share costs no more than any other. Points are
 inserted in batches, so that searches run side by side in numpy, around the
 middle of the shard and in double precision wherever its spread asks for it. A
 vector that lies immensely farther out than most has no place in the graph: it
-is compared with every
-query, and as a query with every point.
+is compared with every query, and as a query with every point.
 """
 
 from __future__ import annotations
