@@ -307,5 +307,6 @@ def _job_reports() -> str:
 def statements() -> dict[str, str]:
     shared = {f"shared_{name}": sql for name, sql in REPORTS.items()}
     written = {"job_reports": _job_reports(), "job_mixed_types": _job_reports()}
-    every = {**OPERATORS, **written, **REPORTS, **shared}
+    pruned = {"filter_since_files": OPERATORS["filter_since"]}
+    every = {**OPERATORS, **pruned, **written, **REPORTS, **shared}
     return {name: _RELATIONS + _spell_out(sql) for name, sql in every.items()}

@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 from waybill.operators.normalize import normalize_all, union_trips
 from waybill.operators.quality import clean_trips
 from waybill.plans import resume
-from waybill.plans.reports import FARES, REPORTS, Report, build, register_trips
+from waybill.plans.reports import FARES, RECENT, REPORTS, Report, build, register_trips
 from waybill.plans.summary import (
     SLICE,
     has_limbs,
@@ -26,10 +26,11 @@ from waybill.plans.summary import (
     summarize,
 )
 from waybill.rules import DEFAULT_RULES, Rules
-from waybill.schema import SERVICE
+from waybill.schema import SERVICE, source_layout
 from waybill.sinks.parquet import write_report
 from waybill.sinks.publish import publish
 from waybill.sources.parquet import read_trips, read_zones
+from waybill.sources.ranges import read_trips_since
 
 log = logging.getLogger(__name__)
 
@@ -112,13 +113,16 @@ def write_reports(
     shared_scan: bool = True,
     staging: str | None = None,
     made_from: dict | None = None,
+    recent: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, str]:
     """Write all reports on raw trips and publish them below ``output``; returns name -> directory.
 
     With ``shared_scan`` the trips are read once; ``made_from`` lets a run go
     on with the summary of one that failed. Without, every report reads the
     columns it needs, one report after the other, and the first full scan
-    counts the trips. If any report fails, none is replaced.
+    counts the trips. ``recent`` are the same raw trips, some of those before the
+    start date left out, for the reports that do not need them. If any report
+    fails, none is replaced.
     """
     spark = zones.sparkSession
     canonical = normalize_all(services)
@@ -137,12 +141,16 @@ def write_reports(
     else:
         watched, watches = _counted(canonical)
         counting = clean_trips(reduce(union_trips, watched.values()), rules)
+        late = clean
+        if recent:
+            late = clean_trips(reduce(union_trips, normalize_all(recent).values()), rules)
 
     def write(report: Report, fresh: str) -> None:
         if shared_scan:
             frame = report_from_summary(report, summary, zones, rules, limbs)
         else:
-            frame = build(report, counting if report is COUNTING else clean, zones, rules)
+            trips = late if report.scope == RECENT else clean
+            frame = build(report, counting if report is COUNTING else trips, zones, rules)
         write_report(frame, fresh, report.name)
         if watches and report is COUNTING:
             note({service: _observed(watch) for service, watch in watches.items()})
@@ -177,12 +185,23 @@ def run(
     """Read the three Parquet inputs and write all reports below ``output``.
 
     ``staging`` is a folder that all executors see, outside of ``output``; by
-    default it is the cluster's checkpoint folder.
+    default it is the cluster's checkpoint folder. Without ``shared_scan`` it
+    keeps a table of each file's last pick-up, and reports from the start date
+    on read only the files that reach it.
     """
-    services = {"green": read_trips(spark, input_green), "yellow": read_trips(spark, input_yellow)}
+    inputs = {"green": input_green, "yellow": input_yellow}
+    services = {service: read_trips(spark, path) for service, path in inputs.items()}
     zones = read_zones(spark, input_zones)
     made_from = resume.manifest(spark, services, rules)
-    return write_reports(services, zones, output, rules, shared_scan, staging, made_from)
+    recent, ranges = None, staging or spark.conf.get(CHECKPOINT_SETTING, None)
+    if ranges and not shared_scan:
+        recent = {
+            service: read_trips_since(
+                spark, path, source_layout(service)["pickup_datetime"], rules.since, ranges
+            )
+            for service, path in inputs.items()
+        }
+    return write_reports(services, zones, output, rules, shared_scan, staging, made_from, recent)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import posixpath
 import uuid
 from collections.abc import Mapping
 from dataclasses import asdict
@@ -18,7 +17,7 @@ from dataclasses import asdict
 from pyspark.sql import DataFrame, SparkSession
 
 from waybill.rules import Rules
-from waybill.sinks.publish import Store
+from waybill.sinks.publish import Store, listed_files
 
 #: Changes with the layout of the summary.
 LAYOUT = 2
@@ -28,17 +27,10 @@ _MANIFEST = "_manifest.json"
 
 def manifest(spark: SparkSession, sources: Mapping[str, DataFrame], rules: Rules) -> dict:
     """What a summary of ``sources``, plain reads of files, depends on."""
-    inputs, stores, listed = {}, {}, {}
-    for service, source in sources.items():
-        inputs[service] = []
-        for path in sorted(source.inputFiles()):
-            folder, name = posixpath.split(path)
-            if folder not in listed:
-                root = folder.split("/", 3)[:3] if "://" in folder else ["/"]
-                root = "/".join(root)
-                stores.setdefault(root, Store(spark, folder))
-                listed[folder] = stores[root].sizes(folder)
-            inputs[service].append([path, *listed[folder].get(name, (None, None))])
+    inputs = {
+        service: [[path, *state] for path, state in sorted(listed_files(spark, source).items())]
+        for service, source in sources.items()
+    }
     zone = spark.conf.get("spark.sql.session.timeZone")
     return {"layout": LAYOUT, "inputs": inputs, "rules": asdict(rules), "time_zone": zone}
 

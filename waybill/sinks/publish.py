@@ -10,10 +10,12 @@ what was published as it was; one that fails after it is finished by the next
 from __future__ import annotations
 
 import json
+import posixpath
 import uuid
 from collections.abc import Callable, Iterable
+from urllib.parse import unquote
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from waybill.sinks.parquet import report_path
 
@@ -110,3 +112,20 @@ def publish(
     store.write_text(f"{base}/{fresh}/{_LIST}", json.dumps(names))
     _take_places(store, base, fresh, names)
     return {name: report_path(base, name) for name in names}
+
+
+def listed_files(spark: SparkSession, source: DataFrame) -> dict[str, tuple]:
+    """The files behind a plain read, as Spark writes their paths -> bytes and time of change.
+
+    Spark writes a path as a URL, with blanks and the like encoded; folders are
+    listed by their real names.
+    """
+    stores, listed, found = {}, {}, {}
+    for path in source.inputFiles():
+        folder, name = posixpath.split(unquote(path))
+        if folder not in listed:
+            root = "/".join(folder.split("/", 3)[:3]) if "://" in folder else "/"
+            stores.setdefault(root, Store(spark, folder))
+            listed[folder] = stores[root].sizes(folder)
+        found[path] = listed[folder].get(name, (None, None))
+    return found

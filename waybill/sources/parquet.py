@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -31,14 +32,8 @@ def _check_kinds(schemas: Iterable[T.StructType]) -> None:
                 raise ValueError(f"files hold {field.name} as {kinds[name]} and as {kind}")
 
 
-def read_drifting(spark: SparkSession, files: list[str]) -> DataFrame:
-    """Files of different schemas as one table.
-
-    Files are grouped by the schema of their footers, each group is read with
-    its own types, and the groups are joined by name: a column takes the wider
-    of its types, and is NULL for files without it. Numbers widen to numbers
-    and times to times; anything else that differs is an error.
-    """
+def drifting_parts(spark: SparkSession, files: list[str]) -> list[DataFrame]:
+    """Files of different schemas, one read per schema, each with its own types."""
 
     def schema_of(file: str) -> T.StructType:
         return spark.read.parquet(file).schema
@@ -50,31 +45,50 @@ def read_drifting(spark: SparkSession, files: list[str]) -> DataFrame:
         like = tuple(sorted((f.name.lower(), f.dataType.simpleString()) for f in schema))
         groups.setdefault(like, []).append(i)
     _check_kinds(schemas[members[0]] for members in groups.values())
-    parts = [
+    return [
         spark.read.schema(schemas[members[0]]).parquet(*(files[i] for i in members))
         for members in groups.values()
     ]
+
+
+def union_parts(parts: list[DataFrame]) -> DataFrame:
+    """Union by name: a column takes the wider of its types, and is NULL for parts without it."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def read_trips(spark: SparkSession, path: str) -> DataFrame:
-    """Raw trips of one service; ``path`` may be a file, a directory or a glob.
+def read_drifting(spark: SparkSession, files: list[str]) -> DataFrame:
+    """Files of different schemas as one table.
 
-    Monthly files drift: a column may be a long in one, a double in another and
-    absent in a third. Spark compares their footers in one distributed job;
-    where types differ the files are read by ``read_drifting``, which does not
-    see columns of ``name=value`` directories.
+    Files are grouped by the schema of their footers, each group is read with
+    its own types, and the groups are joined by name. Numbers widen to numbers
+    and times to times; anything else that differs is an error.
     """
+    return union_parts(drifting_parts(spark, files))
+
+
+def trip_parts(spark: SparkSession, path: str) -> list[DataFrame]:
+    """Raw trips of one service as plain reads of files, one if their types agree."""
     plain = spark.read.parquet(path)
     files = plain.inputFiles()
     if len(files) < 2:
-        return plain
+        return [plain]
     try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
+        return [spark.read.option("mergeSchema", "true").parquet(path)]
     except Exception as error:
         if "CANNOT_MERGE_SCHEMAS" not in str(error) and "Failed to merge" not in str(error):
             raise
-        return read_drifting(spark, sorted(files))
+        return drifting_parts(spark, sorted(map(unquote, files)))
+
+
+def read_trips(spark: SparkSession, path: str) -> DataFrame:
+    """Raw trips of one service; ``path`` may be a file, a directory or a glob.
+
+    Monthly files drift: a column may be a long in one, a double in another and
+    absent in a third. Spark compares their footers in one distributed job;
+    where types differ the files are read by ``read_drifting``, which does not
+    see columns of ``name=value`` directories.
+    """
+    return union_parts(trip_parts(spark, path))
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
