@@ -118,6 +118,60 @@ def test_apportionment_equals_seat_by_seat(spark, seed):
         assert [got[g, i] for i in range(6)] == sainte_lague(votes, seats[g])
 
 
+@pytest.mark.parametrize("ranges", [1, 3, 4096])
+def test_apportionment_by_ranges_of_quotients(spark, ranges, monkeypatch):
+    monkeypatch.setattr(mixing, "RANGES", ranges)
+    draw = random.Random(ranges)
+    groups = {
+        "alike": ([1000] * 150, 225),
+        "mixed": ([draw.choice([3, 1000, draw.randint(1, 5000)]) for _ in range(200)], 1234),
+        "few": ([draw.randint(1, 5000) for _ in range(100)], 7),
+        "one": ([5], 9),
+        "none": ([0, 0], 3),
+    }
+    rows = [(g, i, v, n) for g, (votes, n) in groups.items() for i, v in enumerate(votes)]
+    parties = spark.createDataFrame(rows, "g string, i int, votes long, seats long")
+    found = mixing.apportion(parties, [F.col("g")], "votes", "seats", F.col("i")).collect()
+    got = {(r.g, r.i): r.quota for r in found}
+    for g, (votes, n) in groups.items():
+        assert [got[g, i] for i in range(len(votes))] == sainte_lague(votes, n)
+
+
+def below(node):
+    """The nodes of a finished adaptive plan that are directly below."""
+    if node.nodeName() == "AdaptiveSparkPlan":
+        return [node.executedPlan()]
+    if "QueryStage" in node.nodeName():
+        return [node.plan()]
+    return [node.children().apply(i) for i in range(node.children().size())]
+
+
+def rows_into(window):
+    """The rows that the nearest exchange below wrote."""
+    node = window
+    while not node.metrics().contains("shuffleRecordsWritten"):
+        (node,) = below(node)
+    return node.metrics().apply("shuffleRecordsWritten").value()
+
+
+def test_no_window_takes_all_shards_of_a_source(spark):
+    draw = F.pmod(F.xxhash64("id"), F.lit(4000)) + 1
+    parties = spark.range(100_000).select(
+        F.lit("hot").alias("g"), F.col("id").alias("i"), draw.alias("votes"), F.lit(150_000).alias("seats")
+    )
+    found = mixing.apportion(parties, [F.col("g").substr(1, 3)], "votes", "seats", F.col("i"))
+    counted = found.select(F.sum("quota").alias("quota"))
+    plan = counted._jdf.queryExecution().executedPlan()
+    assert plan.executeCollect()[0].getLong(0) == 150_000
+    windows, waiting = [], [plan]
+    while waiting:
+        node = waiting.pop()
+        waiting += below(node)
+        if node.nodeName() == "Window":
+            windows.append(rows_into(node))
+    assert windows and all(0 < rows < 10_000 for rows in windows)
+
+
 def test_sources_come_near_their_targets(documents):
     rows = mixing.mix(documents).collect()
     taken, target = Counter(), {}

@@ -12,8 +12,8 @@
    the front, as many rounds as the quota asks for. A document is taken whole
    in each round, except for the one in which the last block ends.
 
-Only per-source and per-shard rows are ranked together; documents are summed
-up within their shard. NULL is a source of its own, behind all others. A
+Targets rank one row per source. Quotas are found by counting quotients, so no
+task holds all shards of a source; documents are summed up within their shard. NULL is a source of its own, behind all others. A
 document without a word has size 0 and is not taken. Ids may repeat or be
 NULL: order and shard come from a hash of seed, id and text, and rows equal in
 all of that are interchangeable.
@@ -35,6 +35,8 @@ BLOCK_WORDS = 1024
 LEAST_BLOCKS = 10_000
 #: Below so many blocks a target is met in words.
 EXACT_BLOCKS = 32
+#: Ranges by which the quotients of a group are counted.
+RANGES = 4_096
 SHARD_WORDS = 1 << 20
 SEED = 42
 
@@ -59,7 +61,7 @@ def sized(docs: DataFrame, seed: int = SEED, payload: Sequence[str] = ()) -> Dat
 def source_targets(
     documents: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats: int = MAX_REPEATS
 ) -> DataFrame:
-    """One row per source: mix_source, source_size, target, words (of all sources).
+    """One row per source: mix_source, number, source_size, target, words (of all sources).
 
     Targets rise in step with the weights until a source meets its limit, so
     the sources that stop are the first ones in the order of limit / weight.
@@ -70,7 +72,8 @@ def source_targets(
     ranked = (
         documents.groupBy("mix_source")
         .agg(F.sum("mix_size").alias("source_size"))
-        .withColumn("weight", F.get(of_rank, (F.row_number().over(by_name) - 1) % len(weights)))
+        .withColumn("number", F.row_number().over(by_name) - 1)
+        .withColumn("weight", F.get(of_rank, F.col("number") % len(weights)))
         .withColumn("limit", F.col("source_size") * max_repeats)
     )
     by_limit = every.orderBy(
@@ -95,6 +98,7 @@ def source_targets(
     open_target = F.col("weight") * F.col("left_words") / F.col("left_weight")
     return shared.select(
         "mix_source",
+        "number",
         "source_size",
         F.when(F.col("stops"), F.col("limit").cast("double")).otherwise(open_target).alias("target"),
         "words",
@@ -105,44 +109,70 @@ def apportion(parties: DataFrame, group: list[Column], votes: str, seats: str, t
     """``parties`` with ``quota``: Sainte-Laguë's share of each group's ``seats``.
 
     Two divisors that give too few and too many seats bound the divisor that
-    gives just as many, so no more than about two quotients per party are left
-    to be ranked; the rest of a party's seats are certain.
+    gives just as many, so no more than about two quotients per party are open;
+    the rest of a party's seats are certain. Open quotients are counted by
+    range, ``RANGES`` per group: ranges above the one where the seats run out
+    win, and only the quotients inside of that range are ranked. So a task
+    holds the ranges of a group, or one range's quotients, never all parties.
+    Only equal quotients cannot be parted by range; ``tie``, one value per
+    party of a group, decides among them. ``parties`` is read several times.
     """
-    everyone = Window.partitionBy(*group)
-    total = F.sum(votes).over(everyone)
-    half = F.sum(F.when(F.col(votes) > 0, 0.5).otherwise(0.0)).over(everyone)
+    party = ["group_key", "tie_key"]
+    keyed = parties.select("*", *(c.alias("group_key") for c in group), tie.alias("tie_key"))
+    totals = keyed.groupBy("group_key").agg(
+        F.sum(votes).alias("all_votes"),
+        F.sum(F.when(F.col(votes) > 0, 0.5).otherwise(0.0)).alias("half"),
+    )
     share = F.col(votes) / F.col("all_votes")
-    bounds = (
-        parties.select("*", total.alias("all_votes"), half.alias("half"))
-        .withColumns(
-            {
-                "certain": F.when(
-                    F.col("all_votes") > 0,
-                    F.greatest(F.lit(0), F.floor(share * (F.col(seats) - F.col("half")) + 0.5)),
-                ).otherwise(F.lit(0)),
-                "possible": F.when(
-                    F.col("all_votes") > 0,
-                    F.floor(share * (F.col(seats) + F.col("half")) + 0.5),
-                ).otherwise(F.lit(0)),
-            }
-        )
-        .withColumn("open", F.col(seats) - F.sum("certain").over(everyone))
+    some = F.col("all_votes") > 0
+    fewest = F.greatest(F.lit(0), F.floor(share * (F.col(seats) - F.col("half")) + 0.5))
+    most = F.floor(share * (F.col(seats) + F.col("half")) + 0.5)
+    bounds = keyed.join(totals, "group_key").withColumns(
+        {
+            "certain": F.when(some, fewest).otherwise(F.lit(0)),
+            "possible": F.when(some, most).otherwise(F.lit(0)),
+        }
     )
-    asked = F.when(
-        F.col("possible") > F.col("certain"), F.sequence(F.col("certain") + 1, F.col("possible"))
+    left = bounds.groupBy("group_key").agg((F.max(seats) - F.sum("certain")).alias("open"))
+    asked = F.sequence(F.col("certain") + 1, F.col("possible"))
+    quotients = (
+        bounds.filter("possible > certain")
+        .select(*party, F.col(votes).alias("own_votes"), F.explode(asked).alias("seat"))
+        .withColumn("quotient", F.col("own_votes") / (2 * F.col("seat") - 1))
     )
-    quotient = F.col(votes) / (2 * F.col("seat") - 1)
-    ranked = (
-        bounds.select("*", F.explode_outer(asked).alias("seat"))
-        .withColumn("quotient", quotient)
-        .withColumn(
-            "rank",
-            F.row_number().over(everyone.orderBy(F.col("quotient").desc_nulls_last(), tie, "seat")),
+    ends = quotients.groupBy("group_key").agg(
+        F.min("quotient").alias("low"), F.max("quotient").alias("high")
+    )
+    below = (F.col("high") - F.col("quotient")) / (F.col("high") - F.col("low")) * RANGES
+    ranged = quotients.join(ends, "group_key").select(
+        *party,
+        "seat",
+        "quotient",
+        F.when(F.col("high") > F.col("low"), F.floor(below)).otherwise(F.lit(0)).alias("range"),
+    )
+    counts = ranged.groupBy("group_key", "range").agg(F.count("*").alias("inside"))
+    higher = Window.partitionBy("group_key").orderBy("range")
+    before = F.coalesce(
+        F.sum("inside").over(higher.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    reached = (
+        counts.withColumn("before", before)
+        .join(left, "group_key")
+        .filter("before < open")
+        .select(
+            "group_key",
+            "range",
+            (F.col("open") - F.col("before")).alias("room"),
+            (F.col("before") + F.col("inside") <= F.col("open")).alias("whole"),
         )
     )
-    won = (F.col("seat").isNotNull() & (F.col("rank") <= F.col("open"))).cast("long")
-    counted = ranked.groupBy(*parties.columns, "certain").agg(F.sum(won).alias("won"))
-    return counted.select(*parties.columns, (F.col("certain") + F.col("won")).alias("quota"))
+    found = ranged.join(reached, ["group_key", "range"])
+    best = Window.partitionBy("group_key").orderBy(F.desc("quotient"), "tie_key", "seat")
+    last = found.filter("NOT whole").withColumn("rank", F.row_number().over(best)).filter("rank <= room")
+    won = found.filter("whole").select(party).unionByName(last.select(party))
+    won = won.groupBy(party).agg(F.count("*").alias("won"))
+    quota = F.col("certain") + F.coalesce("won", F.lit(0))
+    return bounds.join(won, party, "left").select(*parties.columns, quota.alias("quota"))
 
 
 def shard_quotas(
@@ -175,11 +205,13 @@ def shard_quotas(
                 .otherwise(0)
                 .cast("long"),
                 "shards": F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1)),
+                "all_sources": F.lit(0),
             }
         )
     )
+    targets = staged(targets, "sources")
     by_source = (
-        apportion(targets, [F.lit(0)], "votes", "blocks", F.col("mix_source").asc_nulls_last())
+        apportion(targets, [F.col("all_sources")], "votes", "blocks", F.col("number"))
         .withColumn(
             "source_quota",
             F.when(F.col("exact"), F.round("target").cast("long")).otherwise(F.col("quota")),
@@ -193,13 +225,14 @@ def shard_quotas(
         .agg(F.sum("mix_size").alias("shard_size"))
     )
     by_shard = apportion(
-        shards, [F.col("mix_source")], "shard_size", "source_quota", F.col("shard")
+        staged(shards, "shards"), [F.col("number")], "shard_size", "source_quota", F.col("shard")
     )
     most = F.col("shard_size") * max_repeats
     goal = F.least(F.round(F.col("quota") * F.col("unit")).cast("long"), most)
-    return by_shard.select(
+    goals = by_shard.select(
         "mix_source", "source_size", "target", "shards", "shard", "shard_size", goal.alias("goal")
     )
+    return staged(goals, "quotas")
 
 
 def with_shard(documents: DataFrame, sources: DataFrame) -> DataFrame:
