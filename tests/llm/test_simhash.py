@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -85,9 +86,11 @@ def test_linked_pairs_meet_in_a_shard(seed):
         assert all(shards[i] & shards[j] for j in near)
 
 
+@pytest.mark.parametrize("most", [4096, 5, 2])
 @pytest.mark.parametrize("seed", range(2))
-def test_edges_over_shards_give_all_components(spark, seed, monkeypatch):
+def test_edges_over_shards_give_all_components(spark, seed, most, monkeypatch):
     monkeypatch.setattr(simhash, "SHARD_SIZE", 40)
+    monkeypatch.setattr(simhash, "MOST_SHARDS", most)
     points = clusters(seed)
     signed = np.array(points, np.uint64).view(np.int64).tolist()
     distinct = spark.createDataFrame([(b,) for b in signed], "bits long")
@@ -102,6 +105,19 @@ def test_edges_over_shards_give_all_components(spark, seed, monkeypatch):
     assert len(groups) == len(set(want))
 
 
+def test_large_shards_are_dealt_again(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SHARD_SIZE", 64)
+    points = np.unique(np.random.default_rng(3).integers(0, 1 << 63, 3000, np.uint64))
+    rows = [(int(i % 3), int(b)) for i, b in enumerate(points)]
+    # One shard is too small for the sample of its tree.
+    rows += [(3, 17)]
+    dealt = spark.createDataFrame(rows, "shard int, bits long")
+    found = simhash._dealt_again(dealt, 4, 2).collect()
+    assert {(r.shard, r.bits) for r in found} == set(rows)
+    sizes = Counter((r.shard, r.part) for r in found)
+    assert len(sizes) > 20 and max(sizes.values()) < 500 and sizes[3, 0] == 1
+
+
 def test_components_of_a_long_chain(spark):
     pairs = spark.range(1, 200).selectExpr("id AS a", "id - 1 AS b")
     rows = simhash.components(pairs).collect()

@@ -20,6 +20,7 @@ rounds of grouping by fingerprint.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +37,9 @@ LINK_BITS = 2
 #: Fixed value: the seed of the shingle hash.
 HASH_SEED = 42
 
-#: Fingerprints that a shard should hold, the most shards a tree makes, and
-#: the most fingerprints that it is grown from.
+#: Fingerprints that a shard should hold, the most shards of the first tree, and
+#: the most fingerprints that it is grown from. Where that makes larger shards,
+#: each is dealt again by a tree of its own.
 SHARD_SIZE = 16_384
 MOST_SHARDS = 4_096
 MOST_SAMPLED = 32_768
@@ -197,6 +199,53 @@ def link(points: np.ndarray, link_bits: int) -> np.ndarray:
     return groups.parent
 
 
+def _dealt_again(dealt: DataFrame, shards: int, link_bits: int) -> DataFrame:
+    """Shards split into parts of about ``SHARD_SIZE``: (shard, part, bits).
+
+    Every shard's tree is grown in a task, from some eight fingerprints a part.
+    It comes first in the stream of its shard, whose fingerprints follow in
+    batches, so a task holds a tree and a batch and the driver neither.
+    """
+    size, every = SHARD_SIZE, max(1, SHARD_SIZE // 8)
+
+    def grow(frame: pd.DataFrame) -> pd.DataFrame:
+        sample = frame["bits"].to_numpy().view(np.uint64)
+        tree = VantageTree(sample, -(-len(sample) * every // size))
+        return pd.DataFrame({"shard": frame["shard"].iloc[:1], "tree": [pickle.dumps(tree)]})
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, tree = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            numbers = batch.column("shard").to_numpy()
+            bits = batch.column("bits").fill_null(0).to_numpy().view(np.uint64)
+            ends = np.flatnonzero(np.diff(numbers)) + 1
+            for first, end in zip([0, *ends], [*ends, len(numbers)]):
+                if numbers[first] != current:
+                    # A shard too small for the sample has no tree, and stays whole.
+                    current, tree = numbers[first], VantageTree(np.empty(0, np.uint64), 1)
+                stored = batch.column("tree")[int(first)].as_py()
+                if stored is not None:
+                    tree, first = pickle.loads(stored), first + 1
+                for part, at in tree.route(bits[first:end], link_bits):
+                    columns = [
+                        pa.array(np.full(len(at), current, np.int32)),
+                        pa.array(np.full(len(at), part, np.int32)),
+                        pa.array(bits[first:end][at].view(np.int64)),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=["shard", "part", "bits"])
+
+    drawn = dealt.filter(F.pmod(F.xxhash64("bits", F.lit("again")), F.lit(every)) == 0)
+    trees = drawn.groupBy("shard").applyInPandas(grow, "shard int, tree binary")
+    stream = (
+        trees.unionByName(dealt, allowMissingColumns=True)
+        .repartitionById(shards, "shard")
+        .sortWithinPartitions("shard", F.col("tree").isNull())
+    )
+    return stream.select("shard", "tree", "bits").mapInArrow(deal, "shard int, part int, bits long")
+
+
 def linked_edges(spark: SparkSession, distinct: DataFrame, link_bits: int) -> DataFrame:
     """Edges (bits, root) of fingerprints to smaller ones, which span all links.
 
@@ -204,7 +253,8 @@ def linked_edges(spark: SparkSession, distinct: DataFrame, link_bits: int) -> Da
     """
     ship(spark)
     total = distinct.count()
-    shards = min(MOST_SHARDS, -(-total // SHARD_SIZE))
+    wanted = -(-total // SHARD_SIZE)
+    shards = min(MOST_SHARDS, wanted)
     sample = np.empty(0, np.uint64)
     if shards > 1:
         # An eighth at most, and never more than MOST_SAMPLED or so.
@@ -231,8 +281,10 @@ def linked_edges(spark: SparkSession, distinct: DataFrame, link_bits: int) -> Da
             {"bits": points[linked].view(np.int64), "root": points[roots[linked]].view(np.int64)}
         )
 
-    dealt = distinct.select("bits").mapInArrow(deal, "shard int, bits long")
-    return dealt.groupBy("shard").applyInPandas(join, "bits long, root long").distinct()
+    dealt, group = distinct.select("bits").mapInArrow(deal, "shard int, bits long"), ["shard"]
+    if wanted > shards:
+        dealt, group = _dealt_again(staged(dealt, "dealt"), shards, link_bits), ["shard", "part"]
+    return dealt.groupBy(*group).applyInPandas(join, "bits long, root long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
