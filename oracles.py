@@ -6,17 +6,17 @@ import re
 
 _HALF_UP = re.compile(r"half_up\((sum|avg)\((\w+)\)(?: / (\d+))?, 2\)")
 
-# The measures of the reports, and the slices that add each of them up.
-_MEASURES = {
-    "total_amount": "'codes', 'pickup', 'dropoff', 'clock'",
-    "fare_amount": "'codes'",
-    "tip_amount": "'codes', 'clock'",
-    "tolls_amount": "'codes'",
-    "congestion_surcharge": "'codes'",
-    "trip_distance": "'codes'",
-    "avg_speed_mph": "'pickup'",
-    "trip_duration_min": "'pickup'",
-}
+# The measures of the reports.
+_MEASURES = (
+    "total_amount",
+    "fare_amount",
+    "tip_amount",
+    "tolls_amount",
+    "congestion_surcharge",
+    "trip_distance",
+    "avg_speed_mph",
+    "trip_duration_min",
+)
 
 
 def _decimal(measure: str) -> str:
@@ -28,9 +28,7 @@ _MEASURE_SUMS = ", ".join(
     f"sum({_decimal(m)}) AS {m}, count({m}) AS {m}_n" for m in _MEASURES
 )
 _MEASURES_SHOWN = ", ".join(
-    f"CASE WHEN slice IN ({slices}) THEN CAST(round({m}, 9) AS DOUBLE) END AS {m},"
-    f" CASE WHEN slice IN ({slices}) THEN {m}_n END AS {m}_n"
-    for m, slices in _MEASURES.items()
+    f"CAST(round({m}, 9) AS DOUBLE) AS {m}, {m}_n" for m in _MEASURES
 )
 
 _RELATIONS = """
@@ -215,7 +213,7 @@ LEFT JOIN zones z ON t."DOLocationID" = z."LocationID" """,
 )
 SELECT service_type, valid, payment_type, "RatecodeID", year, recent, "PULocationID",
   "DOLocationID", hour, weekday, slice, trip_rows, {_MEASURES_SHOWN}
-FROM grouped WHERE slice = 'codes' OR valid""",
+FROM grouped""",
 }
 
 

@@ -155,17 +155,17 @@ def total_of(measure: str) -> str:
     )
 
 
-def round_total(measure: str, per: str, limbs: str | None = None) -> Column:
-    """The total of a group's sums, divided by ``per`` and rounded half up to two decimals, once.
+def round_total(measure: str, per: str, limbs: str | None = None, places: int = 2) -> Column:
+    """The total of a group's sums, divided by ``per`` and rounded half up to ``places``, once.
 
     The sums are those of layer 0 in the measure's columns and, if given, those
     of ``limbs_of``. NULL without any amount.
     """
     total = f"CAST({total_of(measure)} AS DECIMAL(38, 18))"
-    rounded = f"CAST(round(try_divide({total}, CAST({per} AS DECIMAL(20, 0))), 2) AS DOUBLE)"
+    rounded = f"CAST(round(try_divide({total}, CAST({per} AS DECIMAL(20, 0))), {places}) AS DOUBLE)"
     if limbs is None:
         return F.expr(rounded)
     whole = f"CAST({total} AS DOUBLE) + {_sum_of_limbs(limbs, measure)}"
     return F.expr(
-        f"IF(size({limbs}) = 0, {rounded}, round(try_divide({whole}, CAST({per} AS DOUBLE)), 2))"
+        f"IF(size({limbs}) = 0, {rounded}, round(try_divide({whole}, CAST({per} AS DOUBLE)), {places}))"
     )

@@ -8,8 +8,9 @@ the few measures that its reports show: measures that never meet in a slice
 share a slot, so the buffers of the aggregation are as narrow as the widest
 slice. Trips are reduced inside the scan tasks, so what is shuffled is at most
 one row per task and distinct key, however unevenly trips spread over the keys.
-Only the slice of codes serves reports on clean trips; the other slices hold
-valid trips alone.
+Only the slice of codes serves reports on clean trips; for reports the other
+slices hold valid trips alone. The whole summary, asked for without reports, has
+all trips and all measures in every slice.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ SLICES = {
 SLICE = "slice"
 CODES = "codes"
 
+MEASURES = tuple(dict.fromkeys(m for report in REPORTS for m in report.measures))
+
 
 def slice_of(report: Report) -> str:
     """The slice whose keys can answer a report."""
@@ -48,8 +51,10 @@ def slice_of(report: Report) -> str:
     return next(name for name, keys in SLICES.items() if needed <= set(keys))
 
 
-def _measures(reports: Iterable[Report]) -> dict[str, list[str]]:
-    """The slices that are needed, and the measures that each of them adds up."""
+def _measures(reports: Iterable[Report] | None) -> dict[str, list[str]]:
+    """The slices that are needed, and the measures that each of them adds up; None needs all."""
+    if reports is None:
+        return {name: list(MEASURES) for name in SLICES}
     found: dict[str, list[str]] = {}
     for report in reports:
         mine = found.setdefault(slice_of(report), [])
@@ -94,7 +99,7 @@ def _by_slice(trips: DataFrame, needed: Mapping[str, list[str]], slots: Mapping[
 def summarize_service(
     trips: DataFrame,
     rules: Rules = DEFAULT_RULES,
-    reports: Iterable[Report] = REPORTS,
+    reports: Iterable[Report] | None = REPORTS,
 ) -> DataFrame:
     """Partial totals per slice, from the canonical trips of one service.
 
@@ -102,7 +107,8 @@ def summarize_service(
     measures that they need there. In the slice of codes, rows that cleaning
     would drop stay in, told apart by their rate code and the validity flag, so
     that raw row counts come out of the same scan. The other slices hold valid
-    trips only.
+    trips only. With None for ``reports``, every slice holds all trips, valid or
+    not, and adds up all measures.
     """
     needed = _measures(reports)
     slots = _slots(needed)
@@ -119,30 +125,35 @@ def summarize_service(
     if CODES not in needed:
         flagged = flagged.filter(VALID)
     sliced = _by_slice(with_parts(with_keys(flagged, keys), slots), needed, slots)
-    sliced = sliced.filter((F.col(SLICE) == CODES) | F.col(VALID))
+    if reports is not None:
+        sliced = sliced.filter((F.col(SLICE) == CODES) | F.col(VALID))
     width = max(slots.values(), default=-1) + 1
     totals = sliced.groupBy(SLICE, LAYER, VALID, *keys).agg(
         *partial_totals(f"slot{slot}" for slot in range(width))
     )
     shown = []
     for measure, slot in slots.items():
-        mine = F.col(SLICE).isin([name for name, held in needed.items() if measure in held])
+        holders = [name for name, held in needed.items() if measure in held]
         for part in (*PARTS, "n"):
-            shown.append(F.when(mine, F.col(f"slot{slot}_{part}")).alias(f"{measure}_{part}"))
+            value = F.col(f"slot{slot}_{part}")
+            if len(holders) < len(needed):
+                value = F.when(F.col(SLICE).isin(holders), value)
+            shown.append(value.alias(f"{measure}_{part}"))
     return totals.select(VALID, *keys, SLICE, LAYER, ROWS, *shown)
 
 
 def summarize(
     services: Mapping[str, DataFrame],
     rules: Rules = DEFAULT_RULES,
-    reports: Iterable[Report] = REPORTS,
+    reports: Iterable[Report] | None = REPORTS,
 ) -> DataFrame:
     """Partial totals of canonical trips per service and slice.
 
     Each service is aggregated before the union: its name needs no place in
     the grouping key, and scan to partial totals is one stage of generated code.
+    With None for ``reports`` it is the whole summary.
     """
-    reports = tuple(reports)
+    reports = None if reports is None else tuple(reports)
     parts = [
         summarize_service(trips, rules, reports).withColumn(SERVICE, F.lit(service))
         for service, trips in services.items()
